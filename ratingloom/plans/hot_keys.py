@@ -24,6 +24,7 @@ def _hottest(sizes: DataFrame, on: str, rows: str, hot_rows: int) -> DataFrame:
         sizes.filter((F.col(rows) > hot_rows) | F.col(on).isNull())
         .orderBy(F.col(on).isNotNull(), F.col(rows).desc(), on)
         .limit(HOT_KEYS)
+        .select(F.col(on).alias(_KEY))
     )
 
 
@@ -40,21 +41,11 @@ def attach(
 
     ``rows`` names the column holding the number of fact rows per key, in ``stats`` or, if given,
     in ``sizes`` (pass ``sizes`` when ``stats`` was computed from another table than ``facts``).
-    If no key is hot, the adaptive planner drops the broadcast branch at run time.
+    If no key is hot, the adaptive planner drops the branch of the hot rows at run time.
     """
-    payload = [c for c in stats.columns if c != on]
-    if sizes is None:
-        hot = _hottest(stats, on, rows, hot_rows)
-    else:
-        hot = _hottest(sizes, on, rows, hot_rows).select(on).join(stats, on, "left")
-    key = F.col(on)
-    hot = hot.select(
-        key.alias(_KEY), *[F.when(key.isNotNull(), F.col(c)).alias(c) for c in payload]
-    )
+    hot = F.broadcast(_hottest(stats if sizes is None else sizes, on, rows, hot_rows))
+    hot_stats = stats.join(hot, stats[on] == F.col(_KEY), "left_semi")
     is_hot = facts[on].eqNullSafe(F.col(_KEY))
-    in_place = facts.join(F.broadcast(hot), is_hot, "inner")
-    shuffled = facts.join(F.broadcast(hot.select(_KEY)), is_hot, "left_anti").join(
-        stats, on, "left"
-    )
-    columns = [*facts.columns, *payload]
-    return in_place.select(*columns).unionByName(shuffled.select(*columns))
+    in_place = facts.join(hot, is_hot, "left_semi").join(F.broadcast(hot_stats), on, "left")
+    shuffled = facts.join(hot, is_hot, "left_anti").join(stats, on, "left")
+    return in_place.unionByName(shuffled)
