@@ -24,7 +24,6 @@ def _hottest(sizes: DataFrame, on: str, rows: str, hot_rows: int) -> DataFrame:
         sizes.filter((F.col(rows) > hot_rows) | F.col(on).isNull())
         .orderBy(F.col(on).isNotNull(), F.col(rows).desc(), on)
         .limit(HOT_KEYS)
-        .select(F.col(on).alias(_KEY))
     )
 
 
@@ -42,10 +41,22 @@ def attach(
     ``rows`` names the column holding the number of fact rows per key, in ``stats`` or, if given,
     in ``sizes`` (pass ``sizes`` when ``stats`` was computed from another table than ``facts``).
     If no key is hot, the adaptive planner drops the branch of the hot rows at run time.
+
+    Joins compare keys NULL-safely for the sake of the plan. That adds no NOT NULL filter below
+    ``stats``, so all its uses share one shuffle. It also gives ``stats`` a shuffle of its own after
+    the aggregation, so that adaptive execution measures it, broadcasts it if it turns out small,
+    and can still split an uneven partition of ``facts``.
     """
-    hot = F.broadcast(_hottest(stats if sizes is None else sizes, on, rows, hot_rows))
-    hot_stats = stats.join(hot, stats[on] == F.col(_KEY), "left_semi")
+    if sizes is None:
+        hot_stats = _hottest(stats, on, rows, hot_rows)
+        hot = hot_stats.select(F.col(on).alias(_KEY))
+    else:
+        hot = _hottest(sizes, on, rows, hot_rows).select(F.col(on).alias(_KEY))
+        of_hot = stats[on].eqNullSafe(F.col(_KEY))
+        hot_stats = stats.join(F.broadcast(hot), of_hot, "left_semi").limit(HOT_KEYS)
+    hot = F.broadcast(hot)
     is_hot = facts[on].eqNullSafe(F.col(_KEY))
     in_place = facts.join(hot, is_hot, "left_semi").join(F.broadcast(hot_stats), on, "left")
-    shuffled = facts.join(hot, is_hot, "left_anti").join(stats, on, "left")
+    renamed = stats.withColumnRenamed(on, _KEY)
+    shuffled = facts.join(hot, is_hot, "left_anti").join(renamed, is_hot, "left").drop(_KEY)
     return in_place.unionByName(shuffled)
