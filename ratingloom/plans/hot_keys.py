@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # A key above HOT_ROWS rows is hot. At most HOT_KEYS hot keys are broadcast, largest first, which
 # bounds the broadcast at HOT_KEYS small rows and every shuffled key at the larger of HOT_ROWS
 # rows and 1/HOT_KEYS of the table.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 10_000_000
 HOT_KEYS = 10_000
 
 _KEY = "__hot_key"

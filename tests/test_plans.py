@@ -98,25 +98,57 @@ def test_hot_keys_beyond_the_broadcast_bound_are_still_joined(skewed, monkeypatc
     assert "limit=3" in _plan(got)
 
 
-def test_hot_rows_stay_out_of_the_shuffle(spark, tmp_path):
-    """A third of all rows on one key: its rows never reach an exchange."""
-    facts = spark.range(30_000).selectExpr(
-        "if(id % 3 = 0, -1, id) as k", "id as v", "repeat('x', 20) as pad"
-    )
+@pytest.fixture
+def third_on_one_key(spark, tmp_path):
+    """30,000 rows in 8 files, a third on one key, with joins kept from broadcasting."""
     path = str(tmp_path / "facts")
-    facts.write.parquet(path)
+    spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, -1, id) as k", "md5(cast(id as string)) as v"
+    ).repartition(8).write.parquet(path)
     facts = spark.read.parquet(path)
-    stats = facts.groupBy("k").count()
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = attach(facts, stats, "k", "count", hot_rows=1_000)
-        assert got.filter("k = -1 and count = 10000").count() == 10_000
-        got.collect()
-        plan = _plan(got).split("Initial Plan")[0]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "LeftAnti" in plan and "Union" in plan
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.files.openCostInBytes": "1m",
+        "spark.sql.files.maxPartitionBytes": "1m",
+    }
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield facts, facts.groupBy("k").count()
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _final(df):
+    return _plan(df).split("Initial Plan")[0]
+
+
+def test_hot_rows_stay_out_of_the_shuffle(third_on_one_key):
+    facts, stats = third_on_one_key
+    got = attach(facts, stats, "k", "count", hot_rows=1_000)
+    assert _pairs(got) == _pairs(facts.join(stats, "k", "left"))
+    plan = _final(got)
+    above_scan = plan[plan.index("Union") : plan.index("FileScan")]
+    assert "LeftSemi" in above_scan and "Exchange" not in above_scan
+    assert "LeftAnti" in plan
+
+
+def test_uneven_partitions_are_split_at_run_time(third_on_one_key):
+    facts, stats = third_on_one_key
+    got = attach(facts, stats, "k", "count", hot_rows=10**9)
+    assert _pairs(got) == _pairs(facts.join(stats, "k", "left"))
+    assert "SortMergeJoin(skew=true)" in _final(got)
+
+
+def test_no_hot_key_means_one_branch(third_on_one_key):
+    facts, stats = third_on_one_key
+    got = attach(facts, stats, "k", "count", hot_rows=10**9)
+    got.collect()
+    assert "Union" not in _final(got)
 
 
 def test_adapted_join_sides_are_bare_scans(spark, sf_dir):
