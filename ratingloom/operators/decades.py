@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.catalogue import (
-    GENRES,
     NO_GENRE,
     OTHER,
     decade_label,
@@ -75,13 +74,16 @@ def decade_genre_table(
     k: int = 5,
     first: int = 1930,
     last: int = 2022,
-    vocabulary: Sequence[str] = GENRES,
+    vocabulary: Sequence[str] | None = None,
     *,
     title: str = "title",
     genres: str = "genres",
 ) -> DataFrame:
-    """The shares as one row per decade and one column per genre, 0 where a genre is not on top."""
-    names = [g for g in vocabulary if g not in (NO_GENRE, OTHER)]
+    """The shares as one row per decade and one column per genre, 0 where a genre is not on top.
+
+    Without a vocabulary, Spark first runs a job to list the genres.
+    """
+    names = vocabulary and [g for g in vocabulary if g not in (NO_GENRE, OTHER)]
     return (
         decade_genre_share(items, k, first, last, title=title, genres=genres)
         .groupBy("decade")

@@ -10,7 +10,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions.catalogue import GENRES
 from ratingloom.operators.genres import genre_onehot
 from ratingloom.plans.hot_keys import HOT_ROWS, attach
 
@@ -122,7 +121,7 @@ def avg_features(
 def rating_features(
     ratings: DataFrame,
     items: DataFrame,
-    vocabulary: Sequence[str] | None = GENRES,
+    vocabulary: Sequence[str] | None = None,
     fit_on: DataFrame | None = None,
     *,
     user: str = "userId",
@@ -134,7 +133,8 @@ def rating_features(
     """Item, user and rating, followed by the features: two modes, two means, genre indicators.
 
     Indicators join the item statistics first, one row per item, so rating rows are joined once
-    per key whatever the number of features.
+    per key whatever the number of features. Name the genres in ``vocabulary`` to spare the job
+    that lists them.
     """
     onehot = genre_onehot(items, vocabulary, item=item, genres=genres)
     return _features(ratings, fit_on, True, True, user, item, value, hot_rows, onehot)

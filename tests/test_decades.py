@@ -1,5 +1,6 @@
 import pytest
 
+from ratingloom.functions.catalogue import GENRES
 from ratingloom.operators.decades import (
     decade_genre_share,
     decade_genre_table,
@@ -65,6 +66,8 @@ def test_shares_leave_out_missing_and_other(spark, ranked):
 
 
 def test_table_fills_gaps_with_zero(spark, ranked):
-    (row,) = decade_genre_table(ranked, 3).collect()
+    (found,) = decade_genre_table(ranked, 3).collect()
+    assert found.asDict() == {"decade": "1990s", "Crime": 0.2, "Drama": 0.6, "War": 0.2}
+    (row,) = decade_genre_table(ranked, 3, vocabulary=GENRES).collect()
     assert (row.decade, row.Drama, row.Comedy) == ("1990s", 0.6, 0.0)
     assert sum(v for k, v in row.asDict().items() if k != "decade") == pytest.approx(1)
