@@ -57,13 +57,9 @@ def _translate(key: Column, mapping: dict[str, str]) -> Column:
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Epoch seconds of a zone-less timestamp, whatever the session time zone is."""
-    return (
-        F.unix_date(ts.cast("date")).cast("bigint") * 86400
-        + F.hour(ts) * 3600
-        + F.minute(ts) * 60
-        + F.second(ts)
-    )
+    """Whole epoch seconds of a zone-less timestamp, whatever the session time zone is."""
+    since = ts - F.lit("1970-01-01").cast("timestamp_ntz")
+    return since.cast("interval second").cast("bigint")
 
 
 def _stars() -> Column:

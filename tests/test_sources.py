@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ratingloom.sources import readers, warehouse, writers
 
@@ -102,3 +103,11 @@ def test_adapters_do_not_depend_on_the_session_zone(spark):
         assert warehouse.item_ratings(spark, d).collect() == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_epoch_seconds_cut_fractions_off(spark):
+    times = ["1970-01-01 00:00:00", "2024-02-29 23:59:59.999999", "1969-12-31 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(
+        warehouse.epoch_seconds(F.col("t").cast("timestamp_ntz")).alias("s")
+    )
+    assert [r.s for r in df.collect()] == [0, 1709251199, -86400]
