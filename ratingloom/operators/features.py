@@ -84,8 +84,9 @@ def _features(
         value,
         hot_rows,
     )
-    zero_filled = [F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in indicators]
-    return joined.select(item, user, value, *wanted, *zero_filled)
+    if indicators:
+        joined = joined.fillna(0, indicators)
+    return joined.select(item, user, value, *wanted, *indicators)
 
 
 def mode_features(
