@@ -1,8 +1,9 @@
 """Queries that apply each operator to its whole table, and their DuckDB statements."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import minhash
+from ratingloom.llm import langid, minhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,8 +14,14 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return langid.identify(_table(spark, sf_dir, "documents"), pieces)
+
+
 QUERIES = {
     "op4_minhash": op4_minhash,
+    "op10_langid": op10_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {}
