@@ -2,14 +2,26 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratingloom.llm import langid, minhash
+from ratingloom.llm import langid, line_dedup, minhash, mixing, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept_text", 256).alias("kept_sha256")
+    return deduped.select("doc_id", "n_lines", "n_dropped", digest)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -19,9 +31,83 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"), pieces)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op3_line_dedup": op3_line_dedup,
     "op4_minhash": op4_minhash,
+    "op7_packing": op7_packing,
     "op10_langid": op10_langid,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The mix follows from the shuffle and the targets; the schedule decides its order only.
+_MIXING = r"""
+with sizes as (
+  select doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
+    cast('0x' || substr(md5('mix' || coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as h
+  from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size,
+    row_number() over (order by source nulls last) as no
+  from sizes group by source
+), caps as (
+  select *, case no % 3 when 1 then 5 when 2 then 2 else 1 end as weight, 3 * source_size as cap
+  from sources
+), filling as (
+  select *, row_number() over w as place,
+    cast((select sum(source_size) from sources) - coalesce(sum(cap) over (
+      order by cap / weight, no rows between unbounded preceding and 1 preceding), 0) as double)
+    / sum(weight) over (order by cap / weight, no rows between current row and unbounded following)
+    as level
+  from caps window w as (order by cap / weight, no)
+), level as (
+  select arg_min(level, place) as level, min(place) as place
+  from filling where cap > level * weight
+), targets as (
+  select f.source, f.source_size,
+    case when f.place >= l.place then l.level * f.weight else cast(f.cap as double) end as target
+  from filling f cross join level l
+), streams as (
+  select d.doc_id, d.size, t.source_size, t.target, cast(round(t.target) as bigint) as take,
+    coalesce(sum(d.size) over (partition by d.source order by d.h, d.doc_id, d.size
+      rows between unbounded preceding and 1 preceding), 0) as start
+  from sizes d join targets t on d.source is not distinct from t.source
+)
+select doc_id, cast(size as bigint) as size, source_size, target,
+  cast(case when size = 0 then 0 else take // source_size * size
+    + greatest(0, least(start + size, take % source_size) - start) end as bigint) as taken
+from streams
+"""
+
+# Control characters are spelled as DuckDB's chr() so that both engines strip the same bytes.
+_LINES = """
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as position
+  from documents
+), keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines
+), frequent as (
+  select key, max(doc_id) as keeper from keyed where length(key) >= 40
+  group by key having count(distinct doc_id) >= 5
+), marked as (
+  select k.*, f.key is not null and k.doc_id <> f.keeper as gone
+  from keyed k left join frequent f on k.key = f.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by position) filter (not gone), ''))
+    as kept_sha256
+from marked group by doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": _MIXING,
+    "op3_line_dedup": _LINES,
+}
