@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import chat, langid, line_dedup, minhash, mixing, packing
+from ratingloom.llm import chat, langid, line_dedup, minhash, mixing, packing, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = public_tokenizers.path("piece_bpe_32k.model")
     return langid.identify(_table(spark, sf_dir, "documents"), pieces)
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_minhash": op4_minhash,
     "op5_chat": op5_chat,
     "op7_packing": op7_packing,
+    "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
 }
 
@@ -143,8 +148,37 @@ select conv_id, count(*) as n_turns,
 from escaped group by conv_id
 """
 
+_VECTORS = """
+with recursive usable as (
+  select row_number() over () as r, vec_id, label, cast(embedding as double[]) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.r as a, b.r as b, b.vec_id as other
+  from usable a join usable b on a.label = b.label and len(a.v) = len(b.v) and a.r <> b.r
+  where list_cosine_similarity(a.v, b.v) >= 0.98
+), reached(r, reach) as (
+  select r, vec_id from usable
+  union
+  select l.b, reached.reach from reached join links l on l.a = reached.r
+), per_row as (
+  select u.r, u.vec_id, (select count(*) from links l where l.a = u.r) as n_links,
+    (select min(reach) from reached x where x.r = u.r) as component_id
+  from usable u
+)
+select vec_id, n_links, component_id, vec_id = component_id as kept from per_row
+union all
+select vec_id, 0, vec_id, true from embeddings
+where label is null or embedding is null
+  or len(list_filter(embedding, lambda x: x is null or not isfinite(x))) > 0
+  or len(list_filter(embedding, lambda x: x <> 0)) = 0
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _MIXING,
     "op3_line_dedup": _LINES,
     "op5_chat": _CHATS,
+    "op9_vectors": _VECTORS,
 }
