@@ -9,9 +9,9 @@ come within ``MARGIN`` of the threshold (over five standard errors) are decided
 
 Equal sets are one node from the start. In a band's bucket all nodes are first compared with the
 smallest one, the hub. Nodes that the hub's component takes in need no further comparison with
-each other; only nodes of different components are compared again, with new hubs while many are
-left and pair by pair at the end. So a bucket of n copies costs n comparisons, and no pair of
-different components that share a bucket goes unseen.
+each other, so a bucket of n copies costs n comparisons. The nodes left outside are compared with
+all nodes of other components in their buckets: pair by pair where they are few, else in blocks of
+full sets that emit links only. No pair of two components that share a bucket goes unseen.
 """
 
 from collections.abc import Iterator
@@ -29,9 +29,11 @@ HASHES = 128
 BANDS = 32
 BITS = 4
 MARGIN = 0.2
-#: Comparisons left per member of a bucket, above which another round of hubs comes first.
-LEFT_PER_MEMBER = 4
-HUB_ROUNDS = 8
+#: Up to so many outsiders of a component are compared pair by pair, more in blocks of nodes.
+FEW = 16
+BLOCK = 128
+#: Size of the filter that says which texts need their full sets.
+FILTER_BITS = 1 << 24
 
 _PER_LONG = 64 // BITS
 _LONGS = HASHES // _PER_LONG
@@ -122,21 +124,6 @@ def signatures(docs: DataFrame, words: int = 5) -> DataFrame:
     )
 
 
-def shingle_sets(docs: DataFrame, words: int = 5) -> DataFrame:
-    """``(node, shingles)``: the full set of each document as sorted 64-bit hashes."""
-
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets, bounds in _sets(batches, words):
-            shingles = pa.ListArray.from_arrays(
-                pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64))
-            )
-            yield pa.RecordBatch.from_arrays([ids, shingles], ["node", "shingles"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        collect, "node long, shingles array<long>"
-    )
-
-
 def estimate(a: str, b: str) -> Column:
     """Similarity from two packed signatures, corrected for accidental matches."""
     ones = sum(1 << (BITS * i) for i in range(_PER_LONG))
@@ -162,88 +149,203 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * shared_size >= percent * union).select("a", "b")
 
 
-def _compare(
-    hubs: DataFrame, members: DataFrame, percent: int, others: Column | None = None
-) -> DataFrame:
-    """Distinct pairs of a bucket's hubs and members that may be similar, of two components."""
+def _candidates(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of a bucket's hubs and members, of two components, that may be similar."""
     near = estimate("hub_sig", "sig") >= percent / 100 - MARGIN
-    apart = F.col("hub_component") != F.col("component")
-    wanted = near & apart if others is None else near & apart & others
     return (
         members.join(hubs, "key")
-        .filter(wanted)
-        .select(
-            F.least("node", "hub").alias("a"),
-            F.greatest("node", "hub").alias("b"),
-        )
+        .filter(near & (F.col("hub_component") != F.col("component")))
+        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
 
 
-def _as_hubs(members: DataFrame) -> DataFrame:
-    return members.select(
-        "key",
-        F.col("node").alias("hub"),
-        F.col("sig").alias("hub_sig"),
-        F.col("component").alias("hub_component"),
-    )
+def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``(node, shingles)`` of the nodes in ``wanted`` and of a few others.
 
+    A bit map of ``FILTER_BITS`` bits, whatever the input, spares most texts the hashing and all
+    the shuffle. Where it fills up it lets more through; the joins that follow are exact.
+    """
+    spark = docs.sparkSession
+    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    longs = (
+        wanted.select(
+            F.floor(place / 64).cast("long").alias("at"),
+            F.expr(f"shiftleft(1L, int(pmod(xxhash64(node), {FILTER_BITS}) % 64))").alias("bit"),
+        )
+        .groupBy("at")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[longs["at"].to_numpy()] = longs["bits"].to_numpy()
+    bits = spark.sparkContext.broadcast(bitmap.tobytes())
 
-def _first(members: DataFrame) -> DataFrame:
-    """The smallest member of each bucket, as its hub."""
-    smallest = F.min(F.struct("node", "component", "sig"))
-    return members.groupBy("key").agg(smallest.alias("x")).select(
-        "key",
-        F.col("x.node").alias("hub"),
-        F.col("x.sig").alias("hub_sig"),
-        F.col("x.component").alias("hub_component"),
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little")
+        for batch in batches:
+            use = np.flatnonzero(held[batch.column(2).to_numpy()])
+            for ids, sets, bounds in _sets([batch.take(pa.array(use))], words):
+                shingles = pa.ListArray.from_arrays(
+                    pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64))
+                )
+                yield pa.RecordBatch.from_arrays([ids, shingles], ["node", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
+    found = texts.filter("node is not null").withColumn("place", place)
+    return found.mapInArrow(collect, "node long, shingles array<long>")
+
+
+def _members_with(members: DataFrame, labels: DataFrame) -> DataFrame:
+    joined = members.drop("component").join(labels, "node", "left")
+    return joined.withColumn("component", F.coalesce("component", "node"))
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set on the left, the sizes of its intersections with all on the right."""
+    values = np.concatenate(right)
+    owners = np.repeat(np.arange(len(right)), [len(r) for r in right])
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owners[order]
+    for one in left:
+        low, high = np.searchsorted(values, one, "left"), np.searchsorted(values, one, "right")
+        n = high - low
+        at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        yield np.bincount(owners[at], minlength=len(right))
+
+
+def _compare_blocks(percent: int):
+    """Links between the components of two blocks of full sets, one for each pair of components."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        kind = table["kind"][0].as_py()
+        node, component = table["node"].to_numpy(), table["component"].to_numpy()
+        out = table["outside"].to_numpy()
+        sets = [np.asarray(x.values) for x in table["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(out), np.flatnonzero(~out if kind == 0 else out)
+        links: dict[tuple[int, int], tuple[int, int]] = {}
+        if len(left) and len(right):
+            near = _intersections([sets[i] for i in left], [sets[i] for i in right])
+            for i, both in zip(left, near):
+                union = sizes[i] + sizes[right] - both
+                for j in right[100 * both >= percent * union]:
+                    if component[i] != component[j]:
+                        ends = tuple(sorted((int(component[i]), int(component[j]))))
+                        links.setdefault(ends, tuple(sorted((int(node[i]), int(node[j])))))
+        ends = list(zip(*links.values())) or [(), ()]
+        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
+
+    return compare
+
+
+def _blocks(outside: DataFrame, inside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the outsiders of a bucket's main component and its members or each other.
+
+    Both sides are dealt in blocks of about ``BLOCK`` nodes, and pairs of blocks are compared on
+    full sets where they meet. What leaves a comparison are links only, not pairs.
+    """
+    counts = (
+        outside.groupBy("main")
+        .agg(F.count(F.lit(1)).alias("n_out"))
+        .join(inside.groupBy("main").agg(F.count(F.lit(1)).alias("n_in")), "main")
+        .select(
+            "main",
+            F.ceil(F.col("n_out") / BLOCK).alias("p"),
+            F.ceil(F.col("n_in") / BLOCK).alias("q"),
+        )
+    )
+    spread = F.xxhash64(F.lit(7), "node")
+    out = outside.join(counts, "main").withColumn("i", F.pmod(spread, F.col("p")))
+    ins = inside.join(counts, "main").withColumn("i", F.pmod(spread, F.col("q")))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("j")
+
+    base = ["main", "node", "component"]
+    yes, no = F.lit(True).alias("outside"), F.lit(False).alias("outside")
+    dealt = (
+        out.select(*base, yes, F.lit(0).alias("kind"), "i", every("q"))
+        .unionByName(
+            ins.select(*base, no, F.lit(0).alias("kind"), F.col("i").alias("x"), every("p"))
+            .withColumnRenamed("j", "i")
+            .withColumnRenamed("x", "j")
+        )
+        .unionByName(
+            out.select(*base, yes, F.lit(1).alias("kind"), "i", every("p")).select(
+                *base, "outside", "kind", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")
+            )
+        )
+    )
+    return (
+        dealt.join(sets, "node")
+        .groupBy("main", "kind", "i", "j")
+        .applyInArrow(_compare_blocks(percent), "a long, b long")
     )
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, percent: int, words: int) -> DataFrame:
     """Enough similar pairs ``(a, b)`` of ``nodes`` (node, sig, bands) to span every component."""
-    rows = nodes.select("node", F.explode("bands").alias("key"))
-    crowded = shared.stored(
-        rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"),
+    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = shared.stored(
+        keyed.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"))
+        .filter("n > 1")
+        .select("key", "hub"),
         "buckets",
     )
-    keyed = nodes.select("node", "sig", F.explode("bands").alias("key")).join(crowded, "key")
-    members = shared.stored(keyed.withColumn("component", F.col("node")), "members")
-    sharing = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(sharing, "doc_id", "left_semi")
-    sets = shared.stored(shingle_sets(texts, words).dropDuplicates(["node"]), "sets")
-
-    hubs = _first(members)
-    links = shared.stored(_similar(_compare(hubs, members, percent), sets, percent), "links")
-    for _ in range(HUB_ROUNDS):
-        labels = components(links)
-        joined = members.drop("component").join(labels, "node", "left")
-        members = shared.stored(
-            joined.withColumn("component", F.coalesce("component", "node")), "members"
-        )
-        # Those outside the component of the smallest member of their bucket.
-        mains = _first(members).select("key", F.col("hub_component").alias("main"))
-        outside = shared.stored(
-            members.join(shared.stored(mains, "mains"), "key").filter("component <> main"),
-            "outside",
-        )
-        alone = outside.groupBy("key").agg(F.count(F.lit(1)).alias("n_out"))
-        per_key = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        left, held = (
-            per_key.join(alone, "key")
-            .agg(F.sum(F.col("n") * F.col("n_out")), F.sum("n"))
-            .first()
-        )
-        if not left:
-            return links
-        if left <= LEFT_PER_MEMBER * held:
-            break
-        more = _similar(_compare(_first(outside.drop("main")), members, percent), sets, percent)
-        links, before = shared.stored(links.unionByName(more), "links"), links
-        if links.count() == before.count():
-            break
-    rest = _compare(_as_hubs(outside), members, percent)
-    return links.unionByName(_similar(rest, sets, percent))
+    members = shared.stored(
+        nodes.select("node", "sig", F.explode("bands").alias("key"))
+        .join(buckets, "key")
+        .withColumn("component", F.col("node")),
+        "members",
+    )
+
+    # Every member against the hub of its bucket.
+    hubs = members.filter("node = hub").select(
+        "key", "hub", F.col("sig").alias("hub_sig"), F.col("component").alias("hub_component")
+    )
+    star = shared.stored(_candidates(hubs, members.drop("hub"), percent), "pairs")
+    ends = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node")))
+    links = shared.stored(_similar(star, _sets_of(docs, ends, words), percent), "links")
+
+    # Members outside the hub's component, by that component.
+    labels = components(links)
+    members = shared.stored(_members_with(members, labels), "members")
+    mains = members.filter("node = hub").select("key", F.col("component").alias("main"))
+    outside = shared.stored(
+        members.join(mains, "key").filter("component <> main"), "outside"
+    )
+    attached = outside.select("main", "node", "component").distinct()
+    crowded = shared.stored(
+        attached.groupBy("main")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > FEW)
+        .select("main"),
+        "crowded",
+    )
+    few = outside.join(crowded, "main", "left_anti").select(
+        "key",
+        F.col("node").alias("hub"),
+        F.col("sig").alias("hub_sig"),
+        F.col("component").alias("hub_component"),
+    )
+    rest = shared.stored(_candidates(few, members.drop("hub"), percent), "pairs")
+    many = shared.stored(attached.join(crowded, "main", "left_semi"), "many")
+    single = crowded.select("main", F.col("main").alias("node"), F.col("main").alias("component"))
+    inside = shared.stored(
+        labels.join(crowded.withColumnRenamed("main", "component"), "component", "left_semi")
+        .select(F.col("component").alias("main"), "node", "component")
+        .unionByName(single)
+        .distinct(),
+        "inside",
+    )
+    wanted = many.select("node").unionByName(inside.select("node"))
+    for end in ("a", "b"):
+        wanted = wanted.unionByName(rest.select(F.col(end).alias("node")))
+    sets = shared.stored(_sets_of(docs, wanted, words), "sets")
+    more = _similar(rest, sets, percent).unionByName(_blocks(many, inside, sets, percent))
+    return links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
