@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import chat, langid, line_dedup, minhash, mixing, packing, vectors
+from ratingloom.llm import chat, langid, line_dedup, lm, minhash, mixing, packing, quality, spotsigs, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,17 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    sites = documents.select(
+        "doc_id",
+        "text",
+        F.col("source").alias("host"),
+        F.concat_ws("/", "source", "lang").alias("path"),
+    )
+    return quality.assess(sites, _table(spark, sf_dir, "labels"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
     digest = F.sha2("kept_text", 256).alias("kept_sha256")
@@ -26,6 +37,11 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = public_tokenizers.path("piece_bpe_32k.model")
+    return lm.score_texts(_table(spark, sf_dir, "documents"), pieces)
+
+
 def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -45,6 +61,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(turns.unionByName(hostile))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
@@ -52,10 +72,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
     "op4_minhash": op4_minhash,
     "op5_chat": op5_chat,
+    "op6_spotsigs": op6_spotsigs,
     "op7_packing": op7_packing,
+    "op8_lm": op8_lm,
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
 }
