@@ -3,29 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The genre vocabulary, the markers that are not genres, and the seven groups.
-GENRES = (
-    "Action",
-    "Adventure",
-    "Animation",
-    "Children",
-    "Comedy",
-    "Crime",
-    "Documentary",
-    "Drama",
-    "Fantasy",
-    "Film-Noir",
-    "Horror",
-    "IMAX",
-    "Musical",
-    "Mystery",
-    "Romance",
-    "Sci-Fi",
-    "Thriller",
-    "War",
-    "Western",
-    "(no genres listed)",
-)
+# The markers that are not genres, and the seven groups.
 NO_GENRE = "(no genres listed)"
 IMAX = "IMAX"
 OTHER = "Other"

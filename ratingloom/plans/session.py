@@ -1,6 +1,6 @@
 """Session settings the operators are designed for, and where to cut lineage."""
 
-import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -19,14 +19,13 @@ SETTINGS = {
 def use_checkpoint_dir(spark: SparkSession) -> str | None:
     """Point checkpoints at the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a temporary folder. A cluster session without one gets
-    none, and iterative fits then keep their full lineage.
+    A session without one gets none: iterative fits then keep their full lineage, with a warning.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if sc.getCheckpointDir() is not None or not sc.master.startswith("local"):
-            return sc.getCheckpointDir()
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        if sc.getCheckpointDir() is None:
+            warnings.warn("spark.checkpoint.dir is not set: lineage is not cut", stacklevel=2)
+        return sc.getCheckpointDir()
     sc.setCheckpointDir(folder)
     return folder

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 # File layouts of the public ratings dataset.
 RATINGS = T.StructType(
     [
-        T.StructField("userId", T.IntegerType()),
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("userId", T.LongType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("rating", T.DoubleType()),
         T.StructField("timestamp", T.LongType()),
     ]
@@ -17,7 +17,7 @@ RATINGS = T.StructType(
 
 MOVIES = T.StructType(
     [
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("title", T.StringType()),
         T.StructField("genres", T.StringType()),
     ]
@@ -25,8 +25,8 @@ MOVIES = T.StructType(
 
 TAGS = T.StructType(
     [
-        T.StructField("userId", T.IntegerType()),
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("userId", T.LongType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("tag", T.StringType()),
         T.StructField("timestamp", T.LongType()),
     ]
@@ -34,22 +34,22 @@ TAGS = T.StructType(
 
 GENOME_TAGS = T.StructType(
     [
-        T.StructField("tagId", T.IntegerType()),
+        T.StructField("tagId", T.LongType()),
         T.StructField("tag", T.StringType()),
     ]
 )
 
 GENOME_SCORES = T.StructType(
     [
-        T.StructField("movieId", T.IntegerType()),
-        T.StructField("tagId", T.IntegerType()),
+        T.StructField("movieId", T.LongType()),
+        T.StructField("tagId", T.LongType()),
         T.StructField("relevance", T.DoubleType()),
     ]
 )
 
 LINKS = T.StructType(
     [
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("imdbId", T.StringType()),
         T.StructField("tmdbId", T.StringType()),
     ]
@@ -57,8 +57,8 @@ LINKS = T.StructType(
 
 RATINGS_MODE = T.StructType(
     [
-        T.StructField("userId", T.IntegerType()),
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("userId", T.LongType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("rating", T.DoubleType()),
         T.StructField("mode_movie", T.DoubleType()),
         T.StructField("mode_user", T.DoubleType()),

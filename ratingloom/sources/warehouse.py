@@ -69,18 +69,6 @@ def _stars() -> Column:
     ) / F.lit(2.0)
 
 
-def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``movieId, rating, timestamp``: ratings without the user.
-
-    Every order line has an order, so analyses that never look at the user skip that join.
-    """
-    return _table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("movieId"),
-        _stars().alias("rating"),
-        epoch_seconds(F.col("l_shipdate")).alias("timestamp"),
-    )
-
-
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``userId, movieId, rating, timestamp``.
 

@@ -8,11 +8,12 @@ def write_csv(
 ) -> None:
     """Write a headed UTF-8 CSV.
 
-    ``single_file`` funnels everything through one task. Use it for reports whose size is fixed by
-    the operator (top-k, per-genre, per-decade), never for rating-level results.
+    ``single_file`` writes everything in one task, after the work is done in as many as it takes.
+    Use it for reports whose size is fixed by the operator (top-k, per-genre, per-decade), never
+    for rating-level results.
     """
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     (
         df.write.mode(mode)
         .options(header=True, encoding="UTF-8", quote='"', escape='"')

@@ -10,6 +10,7 @@ from ratingloom.operators.features import (
     rating_features,
     train_test_split,
 )
+from ratingloom.plans import hot_keys
 from ratingloom.sources import warehouse
 
 RATINGS = "userId int, movieId int, rating double, timestamp long"
@@ -58,7 +59,7 @@ ITEMS = [(1, "a", "Crime|War"), (2, "b", "(no genres listed)"), (9, "z", "Drama"
 def test_flat_features_and_vectors(spark):
     items = spark.createDataFrame(ITEMS, "movieId int, title string, genres string")
     ratings = _ratings(spark, [(1, 1, 4.0), (1, 2, 1.0), (2, 3, 4.0)])
-    flat = rating_features(ratings, items, ["Crime", "War", "Drama", "(no genres listed)"])
+    flat = rating_features(ratings, items, ["Crime", "War", "(no genres listed)"])
     assert flat.columns == [
         "movieId",
         "userId",
@@ -69,7 +70,7 @@ def test_flat_features_and_vectors(spark):
         "user_average",
         "Crime",
         "War",
-        "Drama",
+        "Other",
     ]
     rows = {r.movieId: tuple(r)[7:] for r in flat.collect()}
     assert rows == {1: (1, 1, 0), 2: (0, 0, 0), 3: (0, 0, 0)}
@@ -84,7 +85,29 @@ def test_unseen_items_keep_their_genres(spark):
     for hot_rows in (1_000_000, 0):
         flat = rating_features(test, items, ["Drama", "War"], train, hot_rows=hot_rows)
         rows = {r.movieId: tuple(r)[3:] for r in flat.collect()}
-        assert rows == {9: (2.5, 1.0, 2.5, 2.5, 1, 0), 8: (2.5, 2.5, 2.5, 2.5, 0, 0)}
+        assert rows == {9: (2.5, 1.0, 2.5, 2.5, 1, 0, 0), 8: (2.5, 2.5, 2.5, 2.5, 0, 0, 0)}
+
+
+def test_null_items_on_both_sides_leave_hot_keys_alone(spark, monkeypatch):
+    items = spark.createDataFrame(
+        [*ITEMS, (None, "n", "War"), (3, "c", "War")], "movieId int, title string, genres string"
+    )
+    train = _ratings(spark, [(1, 1, 4.0), (1, 2, 1.0), (2, 3, 3.0), (2, None, 5.0), (None, 1, 2.0)])
+    test = _ratings(spark, [(u, m, 1.0) for u in (1, 2, None) for m in (1, 2, 3, 9, None)])
+    names = ["Crime", "War", "Drama"]
+    plain = Counter(rating_features(test, items, names, train).collect())
+    for bound in (1, 3, 10_000):
+        monkeypatch.setattr(hot_keys, "HOT_KEYS", bound)
+        got = rating_features(test, items, names, train, hot_rows=0)
+        assert Counter(got.collect()) == plain
+
+
+def test_training_means_leave_the_own_rating_out(spark):
+    items = spark.createDataFrame(ITEMS, "movieId int, title string, genres string")
+    train = _ratings(spark, [(1, 1, 4.0), (2, 1, 2.0), (1, 2, 3.0)])
+    flat = rating_features(train, items, ["War"], leave_one_out=True)
+    rows = {(r.userId, r.movieId): (r.movie_average, r.user_average) for r in flat.collect()}
+    assert rows == {(1, 1): (2.0, 3.0), (2, 1): (4.0, 3.0), (1, 2): (3.0, 4.0)}
 
 
 def test_discovered_vocabulary_gives_the_same_rows(spark, sf_dir):
@@ -92,7 +115,8 @@ def test_discovered_vocabulary_gives_the_same_rows(spark, sf_dir):
     ratings, items = warehouse.ratings(spark, d), warehouse.movies(spark, d)
     known = rating_features(ratings, items, warehouse.GENRES)
     found = rating_features(ratings, items, None)
-    assert sorted(known.columns) == sorted(found.columns)
+    assert sorted(known.columns) == sorted([*found.columns, "Other"])
+    assert known.filter("Other > 0").isEmpty()
     assert known.select(*found.columns).exceptAll(found).isEmpty()
 
 
@@ -120,9 +144,19 @@ def test_key_split_places_incomplete_rows(spark):
     assert {r.is_train for r in train_test_split(odd).collect()} <= {True, False}
 
 
-def test_random_split_is_seeded_and_complete(spark, sf_dir):
+def test_random_split_is_complete_in_any_partitioning(spark, sf_dir):
     ratings = warehouse.ratings(spark, sf_dir)
-    train, test = random_split(ratings)
+    train = random_split(ratings.repartition(8, "userId"))[0]
+    test = random_split(ratings.repartition(5, "rating"))[1]
     assert train.count() + test.count() == ratings.count()
     assert 0.68 < train.count() / ratings.count() < 0.72
-    assert random_split(ratings)[0].exceptAll(train).isEmpty()
+    assert train.intersect(test).isEmpty()
+    assert random_split(ratings, seed=1)[0].exceptAll(train).count() > 1_000
+    assert sum(p.count() for p in random_split(ratings, (1, 2, 3))) == ratings.count()
+
+
+def test_key_split_is_fair_to_ids_in_steps(spark):
+    rows = spark.range(20_000).selectExpr(
+        "id * 10 as userId", "id % 7 * 100 as movieId", "1.0 as rating", "0L as timestamp"
+    )
+    assert 0.68 < train_test_split(rows).filter("is_train").count() / 20_000 < 0.72
