@@ -7,8 +7,10 @@ training texts. Windows overlap, so each id is scored once with at least ``OVERL
 (fewer at a text's start), in batches with one causal mask.
 
 Classes keep ids that begin a word apart from those that go on with one, so the model's
-probability of the next word is known, and it is mixed with the word's share of the training
-tokens: ``MIX`` of the latter. Both sum to at most one over all words.
+probability of the next word is known. It is mixed with a second one for words seen in training:
+the class of the word's first id, as the layer predicts it, times the word's share of the training
+tokens that begin with that class. ``MIX`` is the weight of the latter. Both sum to at most one
+over all words.
 
 Counts cover all training documents. The layer's weights, of fixed number, are fitted on about
 ``SAMPLE_WINDOWS`` windows drawn evenly from them.
@@ -37,7 +39,7 @@ OVERLAP = 8
 DIM = 16
 START_CLASSES, GO_ON_CLASSES = 27, 36
 STEPS, BATCH, RATE = 700, 256, 0.01
-MIX = 0.6
+MIX = 0.85
 _KEPT = 400_000
 _SLICE = 1 << 21
 _CONTEXTS = 256
@@ -292,9 +294,9 @@ def _count(path: str):
 
 def _id_scores(model, sub: Subwords, ids: np.ndarray, lengths: np.ndarray):
     """For sequences laid end to end, each ending in the end id: by position, the log
-    probability of its id and that of a word beginning there."""
-    net, within, starting = model
-    log_id = np.empty(len(ids), np.float32)
+    probability of its id's class and that of a word beginning there."""
+    net, starting = model
+    log_class = np.empty(len(ids), np.float32)
     log_start = np.empty(len(ids), np.float32)
     first = np.cumsum(lengths) - lengths
     inputs = np.empty_like(ids)
@@ -318,15 +320,15 @@ def _id_scores(model, sub: Subwords, ids: np.ndarray, lengths: np.ndarray):
             own, begins = net.log_scores(inputs[at], ids[at], starting, low_skip)
             use = inside[:, low_skip:].ravel()
             to = at[:, low_skip:].ravel()[use]
-            log_id[to], log_start[to] = own[use], begins[use]
-    return log_id + within[ids], log_start
+            log_class[to], log_start[to] = own[use], begins[use]
+    return log_class, log_start
 
 
-def _score(path: str, model, n_train: int, n_docs: int):
+def _score(path: str, model, n_docs: int):
     """Scores of a chunk's documents, given the counts of its words."""
 
     def score(docs: pa.Table, words: pa.Table) -> pa.Table:
-        sub, (net, within) = subwords(path), model.value
+        sub, (net, within, class_counts) = subwords(path), model.value
         starting = np.zeros(int(net.classes.max()) + 1, np.float32)
         starting[: START_CLASSES + 1] = 1.0
         known = words["word"].to_numpy().view(np.uint64)
@@ -360,13 +362,17 @@ def _score(path: str, model, n_train: int, n_docs: int):
             sequence[token_at[ends]] = sub.end
             doc = np.repeat(np.arange(n), per_doc + 1)
             lengths = np.bincount(doc, sizes, n).astype(np.int64)
-            log_id, log_start = _id_scores((net, within, starting), sub, sequence, lengths)
+            log_class, log_start = _id_scores((net, starting), sub, sequence, lengths)
+            log_id = log_class.astype(np.float64) + within[sequence]
             # A word's own probability: its ids, given that one begins, and that one begins after.
-            own = np.add.reduceat(log_id.astype(np.float64), token_at) - log_start[token_at]
+            begins = log_start[token_at]
+            own = np.add.reduceat(log_id, token_at) - begins
             after = np.zeros(len(own))
             after[place] = log_start[token_at[place + 1]]
-            share = np.log(np.maximum(token_c, 1e-300) / max(1, n_train))
-            mixed = np.logaddexp(np.log(1 - MIX) + own + after, np.log(MIX) + share)
+            of_class = np.maximum(class_counts[net.classes[sequence[token_at]]], 1)
+            share = np.log(np.maximum(token_c / of_class, 1e-300))
+            seen = log_class[token_at] - begins + share
+            mixed = np.logaddexp(np.log(1 - MIX) + own + after, np.log(MIX) + seen)
             columns[0].append(per_doc + 1)
             columns[1].append(np.bincount(doc, token_c > 0, n).astype(np.int64))
             columns[2].append(np.bincount(doc, np.log10(token_c + 1.0), n))
@@ -436,7 +442,9 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     net = Attention(classes, sub.size)
     if len(windows):
         net.fit(windows)
-    model = spark.sparkContext.broadcast((net, _within(classes, id_counts)))
+    # Words begin with one word-initial id each, so these count the words of a class.
+    class_counts = np.bincount(classes, id_counts)
+    model = spark.sparkContext.broadcast((net, _within(classes, id_counts), class_counts))
 
     of_word = Window.partitionBy("word")
     returned = counted.filter("chunk is not null").select(
@@ -449,7 +457,7 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         dealt.groupBy("chunk")
         .cogroup(returned.groupBy("chunk"))
         .applyInArrow(
-            _score(vocabulary_path, model, n_train, n_docs),
+            _score(vocabulary_path, model, n_docs),
             "doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
             "score double, distinct long",
         ),
