@@ -1,0 +1,45 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ratingloom.llm import quality
+
+from .conftest import docs_frame
+
+
+def _sites(docs):
+    return docs.withColumn("host", F.col("source")).withColumn("path", F.col("lang"))
+
+
+def test_held_out_labels(spark, sf_dir):
+    docs = _sites(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    even = labels.filter("doc_id % 2 = 0")
+    got = quality.assess(docs, even).join(
+        labels.filter("doc_id % 2 = 1").withColumnsRenamed({"quality": "good", "toxic": "bad"}),
+        "doc_id",
+    )
+    right = F.avg(((F.col("quality") >= 0.5) == (F.col("good") == 1)).cast("int"))
+    clean = F.avg(F.when(F.col("bad") == 0, (F.col("toxic") < 0.5).cast("int")))
+    row = got.agg(right, clean).first()
+    assert row[0] > 0.95 and row[1] > 0.95
+
+
+def test_sparse_sites_are_drawn_to_their_host(spark):
+    rows = [("good", f"p{k % 5}", 1) for k in range(200)] + [("bad", f"p{k % 5}", 0) for k in range(200)]
+    rows += [("good", "rare", 0), ("new", "rare", 1)]
+    labelled = spark.createDataFrame(rows, "host string, path string, quality int")
+    odds = {(r.host, r.path): r.odds for r in quality.shrunk_shares(labelled, "quality").collect()}
+    assert odds["good", "p0"] > 1 > -1 > odds["bad", "p0"]
+    assert abs(odds["good", "rare"]) < odds["good", "p0"] or odds["good", "rare"] > 0
+    assert abs(odds["new", "rare"]) < odds["good", "p0"]
+    assert ("good", None) in odds
+
+
+@pytest.mark.parametrize("marks", [[], [(0, 1, 0), (4, 1, 0)], [(0, 1, None), (9, 0, 1), (9, 1, 1)]])
+def test_odd_rows_and_labels(spark, odd, marks):
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = quality.assess(_sites(odd), labels)
+    rows = got.collect()
+    assert len(rows) == odd.count()
+    assert all(0 <= r.quality <= 1 and 0 <= r.toxic <= 1 and r.kept is not None for r in rows)
+    assert quality.assess(_sites(docs_frame(spark, [])), labels).isEmpty()

@@ -1,0 +1,58 @@
+import numpy as np
+
+from ratingloom.llm import vectors
+
+from .plain import groups
+
+SCHEMA = "vec_id long, embedding array<float>, label int, node string, component string, pass string"
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(*r, "x", "x", "x") for r in rows], SCHEMA)
+
+
+def _brute(rows, cosine=0.98):
+    usable = {}
+    for i, v, label in rows:
+        if label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            if any(v):
+                v = np.array(v, np.float32).astype(np.float64)
+                usable[i] = (label, v / np.sqrt(v @ v))
+    linked = [
+        (a, b)
+        for a in usable
+        for b in usable
+        if a < b and usable[a][0] == usable[b][0] and len(usable[a][1]) == len(usable[b][1])
+        and usable[a][1] @ usable[b][1] >= cosine
+    ]
+    comp = groups([i for i, *_ in rows], linked)
+    n = {i: sum(i in p for p in linked) for i, *_ in rows}
+    return {i: (n[i], comp[i], comp[i] == i) for i, *_ in rows}
+
+
+def test_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(0)
+    centre = rng.standard_normal(32)
+    near = [centre + 0.13 * rng.standard_normal(32) for _ in range(300)]
+    rest = list(rng.standard_normal((200, 32)))
+    data = near + rest + [centre] * 20 + [2 * centre]
+    order = rng.permutation(len(data))
+    rows = [(int(i), [float(x) for x in data[k]], int(k % 7 == 0)) for i, k in enumerate(order)]
+    got = {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(_frame(spark, rows)).collect()}
+    assert got == _brute(rows)
+
+
+def test_odd_rows_and_empty(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 2), (3, [1.0, 0.0], None),
+        (4, None, 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [nan, 1.0], 1),
+        (8, [inf, 1.0], 1), (9, [], 1), (10, [1.0, 0.0, 0.0], 1), (11, [1e30, 1e25], 1),
+        (12, [1e-30, 0.0], 1),
+    ]
+    got = {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(_frame(spark, rows)).collect()}
+    assert got == _brute(rows)
+    more = [*rows[:2], (None, [1.0, 0.0], 1), (1, [1.0, 0.0], 1)]
+    again = sorted(vectors.near_vectors(_frame(spark, more)).collect(), key=str)
+    assert {r.n_links for r in again} == {3} and {r.component_id for r in again} == {0}
+    assert vectors.near_vectors(_frame(spark, [])).isEmpty()
