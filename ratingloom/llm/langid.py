@@ -25,9 +25,9 @@ UNKNOWN = "und"
 MAX_PIECE = 12
 #: Expected counts are smoothed by so many counts spread as the pieces of all languages are.
 SMOOTHING = 1000.0
-_SLICE = 1 << 22
-_PENDING = 200_000
-_KEPT = 400_000
+_SLICE = 1 << 21
+_PENDING = 100_000
+_KEPT = 300_000
 _BITS = 21
 
 
@@ -89,7 +89,7 @@ def _by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, int, np.ndarray
         n = lengths[order[low]]
         high = int(np.searchsorted(lengths[order], n, "right"))
         # Bounded work space: spans times words.
-        high = min(high, low + max(1, (1 << 18) // int(n)))
+        high = min(high, low + max(1, (1 << 16) // int(n)))
         of = order[low:high]
         data = np.frombuffer(b"".join(b" " + words[i] for i in of), np.uint8)
         yield of, int(n), byte_hashes(data), np.arange(len(of)) * n

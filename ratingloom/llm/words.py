@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
