@@ -405,8 +405,10 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) ->
     kept = near_duplicates(docs, percent, words).filter("kept").select("doc_id").distinct()
     ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = ids.filter("n > 1 and doc_id is not null").select("doc_id")
-    once = docs.join(repeated, "doc_id", "left_anti")
-    again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    stay = once.unionByName(again)
+    stay = docs
+    if not repeated.isEmpty():  # else texts need not move to look for repeated ids
+        once = docs.join(repeated, "doc_id", "left_anti")
+        again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        stay = once.unionByName(again)
     same = stay["doc_id"].eqNullSafe(kept["doc_id"])
     return stay.join(kept, same, "left_semi").select(*docs.columns)
