@@ -1,34 +1,32 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-Vectors of one label and dimension are ordered lexicographically by ``BITS`` random hashes (signs
-of random projections), in ``PASSES`` orders with hashes of their own. In each order a vector is
-compared with the ``WINDOW`` before it; vectors at a cosine of c agree in a hash with probability
-1 - acos(c) / pi, which is 0.936 at 0.98, so what one order tears apart another keeps together.
-Verified pairs of all passes are united to components.
-
-Equal vectors are one node from the start. A pass reports links that connect, not every pair, and
-the number of links is then counted exactly inside each component, in blocks of vectors that
-report a count per vector. So a group of n near copies makes rows in proportion to n.
+"""Near-duplicate vectors by exact comparison inside cells of a label.
+
+Every two vectors of one label and dimension that can reach the cosine are compared. A label of
+more than a block has pivots, drawn from its vectors by a hash, and a vector's cell is that of the
+pivot with the largest product. Vectors x of cell i and y of cell j at a distance of at most t both
+have products with the two pivots that differ by at most t times the distance of the pivots, so
+only those near the border of two cells are compared across it; nothing else is left out. Cells
+are dealt to blocks of bounded size, and pairs of blocks are compared by matrix products. A label
+so dense that all its vectors lie near all borders is compared whole, in time that grows with the
+square of its size.
+
+Equal vectors are one node from the start. A pair of blocks reports a count per vector and the
+links that connect, not every pair. So a block of n near copies makes rows in proportion to n.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import shared
 from ratingloom.llm.graph import components
 
-PASSES = 16
-BITS = 48
-WINDOW = 32
-BLOCK = 256
-SEED = 3
-
-_GROUP = ["pass", "label", "dim"]
+BLOCK = 4096
+MAX_PIVOTS = 1024
+_FLOATS = 1 << 20
+_TILE = 1024
 
 
 def _usable(vector: Column) -> Column:
@@ -46,216 +44,181 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def _keys(column: pa.Array) -> np.ndarray:
-    """(vectors, passes) sort keys: concatenated signs of random projections."""
-    dims = np.asarray(column.value_lengths())
-    out = np.empty((len(column), PASSES), np.int64)
-    for dim in np.unique(dims):
-        of = np.flatnonzero(dims == dim)
-        planes = np.random.Generator(np.random.PCG64([SEED, int(dim)]))
-        planes = planes.standard_normal((int(dim), PASSES * BITS))
-        side = (_matrix(column.take(pa.array(of)), int(dim)) @ planes) >= 0
-        power = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-        out[of] = side.reshape(len(of), PASSES, BITS) @ power
-    return out
-
-
-class _Union:
-    """Which of the nodes seen by a task its links already connect."""
-
-    def __init__(self):
-        self.parent: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while (up := self.parent.get(x, x)) != x:
-            self.parent[x] = x = self.parent.get(up, up)
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-        return a != b
-
-
-def _window_links(
-    nodes: np.ndarray, unit: np.ndarray, new: int, cosine: float, window: int, union: _Union
-) -> list[tuple[int, int]]:
-    """Connecting links among rows in order, one of each pair among the last ``new``."""
-    links = []
-    for shift in range(1, min(window, len(nodes) - 1) + 1):
-        first = max(shift, len(nodes) - new)
-        later, before = slice(first, None), slice(first - shift, len(nodes) - shift)
-        near = np.einsum("ij,ij->i", unit[later], unit[before]) >= cosine
-        for i in np.flatnonzero(near) + first:
-            a, b = int(nodes[i]), int(nodes[i - shift])
-            if union.join(a, b):
-                links.append((min(a, b), max(a, b)))
-    return links
-
-
-_LINKED = "a long, b long, edge int, side int, place int, vector array<float>, pass int, label long, dim int"
-
-
-def _rows(links, edges=()) -> pa.RecordBatch:
-    """Links, and the rows next to a partition's border with their place from it."""
-    n = len(links)
-    a = [x[0] for x in links] + [e[0] for e in edges]
-    b = [x[1] for x in links] + [None] * len(edges)
-    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64())]
-    for k, kind in enumerate(
-        (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float32()), pa.int32(), pa.int64(), pa.int32())
-    ):
-        columns.append(pa.array([None] * n + [e[k + 1] for e in edges], kind))
-    names = [c.split()[0] for c in _LINKED.split(", ")]
-    return pa.RecordBatch.from_arrays(columns, names)
-
-
-def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows that agree in pass, label and dimension."""
-    if not len(batch):
-        return
-    change = np.zeros(len(batch), bool)
-    for name in _GROUP:
-        values = batch.column(name).to_numpy(zero_copy_only=False)
-        change[1:] |= values[1:] != values[:-1]
-    cuts = [0, *np.flatnonzero(change).tolist(), len(batch)]
-    for low, high in zip(cuts, cuts[1:]):
-        if high > low:
-            yield batch.slice(low, high - low)
-
-
-def _pass_links(nodes: DataFrame, cosine: float, window: int) -> DataFrame:
-    """Connecting links of all passes, from windows within and across range partitions."""
-
-    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, len(batch), 512):
-                part = batch.slice(low, 512)
-                keys = _keys(part.column("vector"))
-                at = pa.array(np.repeat(np.arange(len(part)), PASSES))
-                rows = part.take(at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.tile(np.arange(PASSES, dtype=np.int32), len(part))),
-                        pa.array(keys.ravel()),
-                        *rows.columns,
-                    ],
-                    ["pass", "key", *rows.schema.names],
-                )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = TaskContext.get().partitionId()
-        union, last, n_seen = _Union(), None, 0
-        tail: list[tuple] = []
+def _block_rows(dim: int) -> int:
+    """Vectors of a block, so that it has a bounded size."""
+    return max(1, min(BLOCK, _FLOATS // dim))
+
+
+def _pivots(nodes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
+    """Pivots of each label and dimension that fills more than a block."""
+    spark = nodes.sparkSession
+    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(_FLOATS) / F.col("dim"))))
+    large = [
+        (r.label, r.dim, min(MAX_PIVOTS, -(-r.n // _block_rows(r.dim))) / r.n)
+        for r in sizes.filter(F.col("n") > block).collect()
+    ]
+    if not large:
+        return {}
+    rates = F.broadcast(spark.createDataFrame(large, "label long, dim int, rate double"))
+    share = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = nodes.join(rates, ["label", "dim"]).filter(share < F.col("rate"))
+    found: dict[tuple[int, int], list] = {}
+    for r in drawn.select("label", "dim", "node", "vector").orderBy("node").toLocalIterator():
+        found.setdefault((r.label, r.dim), []).append(r.vector)
+    return {
+        key: _matrix(pa.array(rows, pa.list_(pa.float32())), key[1]) for key, rows in found.items()
+    }
+
+
+def _by_label(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """Positions of the rows of each label and dimension."""
+    keys = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in ("label", "dim")], 1)
+    distinct, inverse = np.unique(keys, axis=0, return_inverse=True)
+    order = np.argsort(inverse.ravel(), kind="stable")
+    cuts = np.cumsum(np.bincount(inverse.ravel(), minlength=len(distinct)))[:-1]
+    for key, at in zip(distinct.tolist(), np.split(order, cuts)):
+        yield tuple(key), at
+
+
+def _cell_sizes(nodes: DataFrame, pivots) -> dict[tuple[int, int], np.ndarray]:
+    """Vectors in each cell of the labels that have pivots."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: dict = {}
         for batch in batches:
-            for whole in _groups(batch):
-                for low in range(0, len(whole), 4096):
-                    part = whole.slice(low, 4096)
-                    group = tuple(part.column(n)[0].as_py() for n in _GROUP)
-                    ids = part.column("node").to_numpy()
-                    raw = part.column("vector")
-                    unit = _matrix(raw, group[2])
-                    if group != last:
-                        held_ids, held = ids[:0], unit[:0]
-                        last, union = group, _Union()
-                    ids, unit = np.concatenate((held_ids, ids)), np.concatenate((held, unit))
-                    links = _window_links(ids, unit, len(part), cosine, window, union)
-                    held_ids, held = ids[-window:], unit[-window:]
-                    head = []
-                    if n_seen < window and here:
-                        for k in range(min(window - n_seen, len(part))):
-                            node = int(part.column("node")[k].as_py())
-                            vector = raw[k].as_py()
-                            head.append((node, here - 1, 1, n_seen + k, vector, *group))
-                    for k in range(max(0, len(part) - window), len(part)):
-                        node = int(part.column("node")[k].as_py())
-                        tail.append((node, here, 0, 0, raw[k].as_py(), *group))
-                    tail = tail[-window:]
-                    n_seen += len(part)
-                    yield _rows(links, head)
-        placed = [(*t[:3], len(tail) - 1 - k, *t[4:]) for k, t in enumerate(tail)]
-        yield _rows([], placed)
-
-    def across(table: pa.Table) -> pa.Table:
-        """Tail and head of two neighbouring partitions, at most a window each."""
-        links = []
-        rows = table.to_pylist()
-        tail = sorted((r for r in rows if r["side"] == 0), key=lambda r: -r["place"])
-        head = sorted((r for r in rows if r["side"] == 1), key=lambda r: r["place"])
-        union = _Union()
-        for h in head:
-            for t in tail:
-                same = all(h[n] == t[n] for n in _GROUP)
-                if same and h["place"] + t["place"] + 1 <= window:
-                    pair = pa.array([h["vector"], t["vector"]], pa.list_(pa.float32()))
-                    unit = _matrix(pair, h["dim"])
-                    if unit[0] @ unit[1] >= cosine and union.join(h["a"], t["a"]):
-                        links.append((min(h["a"], t["a"]), max(h["a"], t["a"])))
-        ends = list(zip(*links)) or [(), ()]
-        return pa.table({"a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64())})
-
-    place = ["pass", "label", "dim", "key", "node"]
-    ordered = (
-        nodes.select("node", "label", "dim", "vector")
-        .mapInArrow(
-            order, "pass int, key long, node long, label long, dim int, vector array<float>"
+            for key, at in _by_label(batch):
+                if (p := pivots.value.get(key)) is not None:
+                    for k in range(0, len(at), _TILE):
+                        part = batch.column("vector").take(pa.array(at[k : k + _TILE]))
+                        cell = (_matrix(part, key[1]) @ p.T).argmax(1)
+                        sizes[key] = sizes.get(key, 0) + np.bincount(cell, minlength=len(p))
+        rows = [(*k, c, n) for k, each in sizes.items() for c, n in enumerate(each.tolist()) if n]
+        ends = list(zip(*rows)) or [()] * 4
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(e, t) for e, t in zip(ends, kinds)], ["label", "dim", "cell", "n"]
         )
-        .repartitionByRange(shared.partitions(nodes.sparkSession), *place)
-        .sortWithinPartitions(*place)
+
+    found = {key: np.zeros(len(p), np.int64) for key, p in pivots.value.items()}
+    counted = nodes.select("label", "dim", "vector").mapInArrow(
+        count, "label long, dim int, cell int, n long"
     )
-    found = shared.stored(ordered.mapInArrow(compare, _LINKED), "passes")
-    borders = found.filter("edge is not null").groupBy("edge").applyInArrow(across, "a long, b long")
-    return found.filter("edge is null").select("a", "b").unionByName(borders)
+    for r in counted.groupBy("label", "dim", "cell").agg(F.sum("n").alias("n")).collect():
+        found[r.label, r.dim][r.cell] = r.n
+    return found
 
 
-def _link_counts(nodes: DataFrame, labels: DataFrame, cosine: float) -> DataFrame:
-    """``node, n``: rows whose vector links with the node's, inside its component, itself not."""
-    sizes = labels.groupBy("component").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks")
-    )
-    placed = (
-        labels.join(sizes, "component")
-        .join(nodes.select("node", "vector", "copies", "dim"), "node")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("component", "node", "vector", "copies", "dim", "own", other).select(
-        "component",
-        "node",
-        "vector",
-        "copies",
-        "dim",
-        "own",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-    )
+_DEALT = "label long, dim int, i int, j int, own int, node long, copies long, vector array<float>"
 
-    def count(table: pa.Table) -> pa.Table:
-        unit = _matrix(table["vector"].combine_chunks(), table["dim"][0].as_py())
-        own, i, j = table["own"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
-        node, copies = table["node"].to_numpy(), table["copies"].to_numpy()
+
+def _deal(nodes: DataFrame, cosine: float) -> DataFrame:
+    """Vectors under every pair of blocks ``i <= j`` in which they are compared."""
+    context = nodes.sparkSession.sparkContext
+    pivots = context.broadcast(_pivots(nodes))
+    blocks = {}
+    for key, sizes in (_cell_sizes(nodes, pivots) if pivots.value else {}).items():
+        each = np.maximum(1, -(-sizes // _block_rows(key[1])))
+        blocks[key] = (np.cumsum(each) - each, each)
+    blocks = context.broadcast(blocks)
+    # Rounding of the products must not part what belongs together.
+    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, all_at in _by_label(batch):
+                p = pivots.value.get(key)
+                step = len(all_at) if p is None else 256
+                for k in range(0, len(all_at), step):
+                    at = all_at[k : k + step]
+                    if p is None:
+                        x, own, other = np.arange(len(at)), *np.zeros((2, len(at)), np.int64)
+                    else:
+                        first, each = blocks.value[key]
+                        unit = _matrix(batch.column("vector").take(pa.array(at)), key[1])
+                        product = unit @ p.T
+                        home = product.argmax(1)
+                        gap = product[np.arange(len(at)), home][:, None] - product
+                        apart = np.sqrt(np.maximum(0, 2 - 2 * (p[home] @ p.T)))
+                        row, cell = np.nonzero(gap <= reach * apart + 1e-6)
+                        n = each[cell]
+                        x = np.repeat(row, n)
+                        begin = np.cumsum(n) - n
+                        other = np.repeat(first[cell] - begin, n) + np.arange(len(x))
+                        hashed = batch.column("deal").to_numpy()[at]
+                        own = (first[home] + hashed % each[home])[x]
+                    for low in range(0, len(x), 1 << 14):
+                        of = slice(low, low + (1 << 14))
+                        rows = batch.select(["node", "copies", "vector"]).take(pa.array(at[x[of]]))
+                        i, j = np.minimum(own[of], other[of]), np.maximum(own[of], other[of])
+                        short = (np.full(len(i), key[1]), i, j, own[of])
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(i), key[0], np.int64)),
+                                *(pa.array(v.astype(np.int32)) for v in short),
+                                *rows.columns,
+                            ],
+                            [c.split()[0] for c in _DEALT.split(", ")],
+                        )
+
+    spread = F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("deal")
+    return nodes.select("label", "dim", "node", "copies", "vector", spread).mapInArrow(deal, _DEALT)
+
+
+def _near(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
+    """Which pairs reach the cosine: by single precision where it decides, else by double."""
+    slack = 1e-5 + 2.5e-7 * left.shape[1]
+    rough = left.astype(np.float32) @ right.astype(np.float32).T
+    near = rough >= cosine + slack
+    x, y = np.nonzero((rough >= cosine - slack) & ~near)
+    for k in range(0, len(x), 1 << 14):
+        a, b = x[k : k + (1 << 14)], y[k : k + (1 << 14)]
+        near[a, b] = np.einsum("ij,ij->i", left[a], right[b]) >= cosine
+    return near
+
+
+def _compare(cosine: float):
+    """Of two blocks, or one and itself: link counts (b null) and links that connect (n null)."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j, dim = (table[n][0].as_py() for n in ("i", "j", "dim"))
+        own, node = table["own"].to_numpy(), table["node"].to_numpy()
+        copies = table["copies"].to_numpy()
+        unit = _matrix(table["vector"].combine_chunks(), dim)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        near = (unit[left] @ unit[right].T) >= cosine
-        if i == j:
-            np.fill_diagonal(near, False)
-            n = {int(node[x]): int(k) for x, k in zip(left, near @ copies[right])}
-        else:
-            n = {int(node[x]): int(k) for x, k in zip(left, near @ copies[right])}
-            n |= {int(node[x]): int(k) for x, k in zip(right, near.T @ copies[left])}
+        n = np.zeros(len(own), np.int64)
+        group, links = np.arange(len(own)), []
+        for low in range(0, len(left), _TILE):
+            rows = left[low : low + _TILE]
+            near = _near(unit[rows], unit[right], cosine)
+            if i == j:
+                near[np.arange(len(rows)), low + np.arange(len(rows))] = False
+            else:
+                n[right] += near.T @ copies[rows]
+            n[rows] += near @ copies[right]
+            for r in np.flatnonzero(near.any(1)):
+                x, y = rows[r], right[near[r]]
+                new, at = np.unique(group[y], return_index=True)
+                at = at[new != group[x]]
+                if len(at):
+                    links += [(int(node[x]), int(node[b])) for b in y[at]]
+                    lead = np.arange(len(own))
+                    lead[new] = group[x]
+                    group = lead[group]
+        some = np.flatnonzero(n)
+        a, b = zip(*links) if links else ((), ())
         return pa.table(
-            {"node": pa.array(n.keys(), pa.int64()), "n": pa.array(n.values(), pa.int64())}
+            {
+                "a": pa.array([*node[some].tolist(), *a], pa.int64()),
+                "b": pa.array([None] * len(some) + list(b), pa.int64()),
+                "n": pa.array([*n[some].tolist(), *([None] * len(links))], pa.int64()),
+            }
         )
 
-    return (
-        dealt.groupBy("component", "i", "j")
-        .applyInArrow(count, "node long, n long")
-        .groupBy("node")
-        .agg(F.sum("n").alias("n"))
-    )
+    return compare
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.98, window: int = WINDOW) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``.
 
     ``vectors`` has vec_id, embedding and label. Vectors of equal label and dimension are linked
@@ -285,7 +248,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, window: int = WINDOW)
         .withColumn("dim", F.size("vector")),
         "vectors",
     )
-    labels = components(_pass_links(nodes, cosine, window))
+    compared = shared.stored(
+        _deal(nodes, cosine)
+        .groupBy("label", "dim", "i", "j")
+        .applyInArrow(_compare(cosine), "a long, b long, n long"),
+        "compared",
+    )
+    labels = components(compared.filter("b is not null").select("a", "b"))
+    counts = compared.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     named = (
         labels.join(nodes.select("node", "first"), "node")
         .groupBy("component")
@@ -295,7 +265,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, window: int = WINDOW)
         nodes.select("node", "copies", "first")
         .join(labels, "node", "left")
         .join(named, "component", "left")
-        .join(_link_counts(nodes, labels, cosine), "node", "left")
+        .join(counts, "node", "left")
         .select(
             "node",
             (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),

@@ -56,3 +56,46 @@ def test_odd_rows_and_empty(spark):
     again = sorted(vectors.near_vectors(_frame(spark, more)).collect(), key=str)
     assert {r.n_links for r in again} == {3} and {r.component_id for r in again} == {0}
     assert vectors.near_vectors(_frame(spark, [])).isEmpty()
+
+
+def _planted(n, cosine, seed=5):
+    """A label of ``n`` vectors at a mutual cosine, and a partner at 0.981 of each."""
+    rng = np.random.default_rng(seed)
+    shape = rng.standard_normal((n + 1, 64))
+    shape /= np.linalg.norm(shape, axis=1, keepdims=True)
+    v = np.sqrt(cosine) * shape[0] + np.sqrt(1 - cosine) * shape[1:]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    off = rng.standard_normal(v.shape)
+    off -= (off * v).sum(1, keepdims=True) * v
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    return np.concatenate((v, 0.981 * v + np.sqrt(1 - 0.981**2) * off)).astype(np.float32)
+
+
+def _exact(v, cosine=0.98):
+    unit = v.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= cosine
+    np.fill_diagonal(near, False)
+    comp = groups(range(len(v)), zip(*(e.tolist() for e in np.nonzero(near))))
+    return {i: (int(n), comp[i], comp[i] == i) for i, n in enumerate(near.sum(1))}
+
+
+def _result(spark, v):
+    rows = [(i, x, 1) for i, x in enumerate(v.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    return {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(frame).collect()}
+
+
+def test_dense_label_is_exact(spark):
+    v = _planted(3000, 0.95)
+    assert _result(spark, v) == _exact(v)
+
+
+def test_cells_and_blocks_lose_nothing(spark, monkeypatch):
+    """Small blocks, so that pairs lie in one block, in two of a cell, and in two cells."""
+    monkeypatch.setattr(vectors, "BLOCK", 60, raising=False)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(64)
+    copies = centre + 0.1 * rng.standard_normal((200, 64))
+    v = np.concatenate((_planted(150, 0.0), _planted(150, 0.9, 7), copies)).astype(np.float32)
+    assert _result(spark, v) == _exact(v)
