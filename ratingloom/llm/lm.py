@@ -12,8 +12,11 @@ the class of the word's first id, as the layer predicts it, times the word's sha
 tokens that begin with that class. ``MIX`` is the weight of the latter. Both sum to at most one
 over all words.
 
-Counts cover all training documents. The layer's weights, of fixed number, are fitted on about
-``SAMPLE_WINDOWS`` windows drawn evenly from them.
+Counts and the contexts that make the classes cover all training documents. The layer starts from
+a fit on at most ``SAMPLE_WINDOWS`` windows, drawn by a hash of document and position, and then
+learns from every window of the training text: windows are dealt to shards and rounds, the shards
+of a round learn from the same weights in tasks of their own, and a weighted mean of what they
+learnt begins the next round. An id's row weighs by how often the shard has it.
 
 Word counts may outgrow any machine. Documents are dealt to chunks of bounded size; each chunk
 sends its distinct words to be counted and gets their counts back, so a word travels once for a
@@ -29,16 +32,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm import shared
-from ratingloom.llm.words import Words, text_slices, words_of
+from ratingloom.llm.words import Words, mix, text_slices, words_of
 
 CHUNK_BYTES = 1 << 23
 SAMPLE_WINDOWS = 60_000
-SAMPLE_WORDS = 20
+PART_WINDOWS, MAX_SHARDS = 30_000, 256
 LENGTH = 32
 OVERLAP = 8
 DIM = 16
 START_CLASSES, GO_ON_CLASSES = 27, 36
 STEPS, BATCH, RATE = 700, 256, 0.01
+ROUND_RATE = 0.003
 MIX = 0.85
 _KEPT = 400_000
 _SLICE = 1 << 21
@@ -152,21 +156,51 @@ class Attention:
         np.add.at(g["embed"], ids.ravel(), dx.reshape(-1, DIM))
         return g
 
-    def fit(self, windows: np.ndarray, seed: int = 2) -> None:
-        """Adam on windows of ``LENGTH + 1`` ids."""
-        rng = np.random.Generator(np.random.PCG64(seed))
+    def _adam(self, batches: Iterator[tuple[np.ndarray, float]]) -> None:
         mean = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
         square = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
-        for step in range(1, STEPS + 1):
-            pick = windows[rng.integers(0, len(windows), BATCH)]
+        for step, (pick, rate) in enumerate(batches, 1):
             grads = self._gradients(pick[:, :-1], self.classes[pick[:, 1:]])
-            rate = RATE * min(1.0, 2.0 * (1 - step / (STEPS + 1)))
             for n in self.NAMES:
                 mean[n] += 0.1 * (grads[n] - mean[n])
                 square[n] += 0.01 * (grads[n] ** 2 - square[n])
                 m, v = mean[n] / (1 - 0.9**step), square[n] / (1 - 0.99**step)
                 setattr(self, n, getattr(self, n) - rate * m / (np.sqrt(v) + 1e-6))
 
+    def fit(self, windows: np.ndarray, seed: int = 2) -> None:
+        """Adam on windows of ``LENGTH + 1`` ids."""
+        rng = np.random.Generator(np.random.PCG64(seed))
+        self._adam(
+            (
+                windows[rng.integers(0, len(windows), BATCH)],
+                RATE * min(1.0, 2.0 * (1 - step / (STEPS + 1))),
+            )
+            for step in range(1, STEPS + 1)
+        )
+
+    def learn(self, windows: np.ndarray, done: float, share: float) -> None:
+        """Adam once over all ``windows``, after the part ``done`` of all rounds and for ``share``."""
+        lows = range(0, len(windows), BATCH)
+        self._adam(
+            (windows[k : k + BATCH], ROUND_RATE * (1 - done - share * k / len(windows)))
+            for k in lows
+        )
+
+    def rows(self) -> np.ndarray:
+        """All weights in rows of ``DIM``, those of the ids first."""
+        bias = np.zeros(-(-len(self.bias) // DIM) * DIM, np.float32)
+        bias[: len(self.bias)] = self.bias
+        parts = (self.embed, self.place, self.match, self.move, self.out.T, bias.reshape(-1, DIM))
+        return np.concatenate(parts)
+
+    def set_rows(self, rows: np.ndarray) -> None:
+        n = len(self.bias)
+        sizes = np.cumsum([len(self.embed), LENGTH, DIM, DIM, n])
+        self.embed, self.place, self.match, self.move, out, bias = np.split(
+            rows.astype(np.float32), sizes
+        )
+        self.out, self.bias = np.ascontiguousarray(out.T), bias.ravel()[:n]
+
 
 def _kmeans(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     centres = points[rng.choice(len(points), min(k, len(points)), replace=False)]
@@ -179,28 +213,18 @@ def _kmeans(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return (points @ centres.T).argmax(1)
 
 
-def id_classes(windows: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
-    """A class for each id: by the ids around it where it is frequent in the sample.
+def id_classes(
+    around: np.ndarray, counts: np.ndarray, starts: np.ndarray, end: int
+) -> np.ndarray:
+    """A class for each id: by the ids around it where it is frequent in the training text.
 
-    Class 0 is the end of a text; word-initial ids have the classes up to ``START_CLASSES``.
+    ``around`` has how often each common id comes before and after it. Class 0 is the end of a
+    text; word-initial ids have the classes up to ``START_CLASSES``.
     """
     rng = np.random.Generator(np.random.PCG64(4))
     n = len(starts)
-    counts = np.bincount(windows.ravel(), minlength=n)
-    common = np.argsort(-counts, kind="stable")[:_CONTEXTS]
-    column = np.full(n, _CONTEXTS)
-    column[common] = np.arange(_CONTEXTS)
-    before, after = windows[:, :-1].ravel(), windows[:, 1:].ravel()
-    wide = _CONTEXTS + 1
-    around = np.concatenate(
-        [
-            np.bincount(a * wide + column[b], minlength=n * wide).reshape(n, wide)
-            for a, b in ((before, after), (after, before))
-        ],
-        axis=1,
-    ).astype(np.float32)
     around = np.sqrt(around)
-    around /= np.maximum(np.linalg.norm(around, axis=1, keepdims=True), 1e-9)
+    around /= np.maximum(np.linalg.norm(around, axis=1, keepdims=True), np.float32(1e-9))
     classes = np.zeros(n, np.int64)
     base = 1
     for side, k in ((starts, START_CLASSES), (~starts, GO_ON_CLASSES)):
@@ -223,40 +247,162 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def _sample(training: DataFrame, path: str, n_words: int) -> np.ndarray:
-    """Windows of ids, drawn evenly from all training texts; their number is bounded."""
-    rate = min(1.0, SAMPLE_WINDOWS / max(1, n_words))
+def _columns(counts: np.ndarray) -> np.ndarray:
+    """The context column of each id: one for each common id and one for all others."""
+    columns = np.full(len(counts), _CONTEXTS)
+    common = np.argsort(-counts, kind="stable")[:_CONTEXTS]
+    columns[common] = np.arange(len(common))
+    return columns
+
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = subwords(path)
+def _windows(sequence: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that cover sequences laid end to end, and where each begins.
+
+    Each next id is predicted once. The ends of sequences that fill no window are put end to end;
+    the last of them goes over to ids that were there before.
+    """
+    first = np.cumsum(lengths) - lengths
+    full = (lengths - 1) // LENGTH
+    at = np.repeat(first, full) + _spread(np.zeros(len(full), np.int64), full) * LENGTH
+    whole = sequence[at[:, None] + np.arange(LENGTH + 1)]
+    left = lengths - full * LENGTH
+    left[left == 1] = 0
+    rest = _spread(first + full * LENGTH, left)
+    if not len(rest):
+        return whole, at
+    k = max(1, -(-(len(rest) - 1) // LENGTH))
+    begin = np.minimum(np.arange(k) * LENGTH, max(0, len(rest) - LENGTH - 1))
+    of = (begin[:, None] + np.arange(LENGTH + 1)) % len(rest)
+    return np.concatenate((whole, sequence[rest[of]])), np.concatenate((at, rest[begin]))
+
+
+_CUT = "round int, shard int, pick long, ids binary, cell long, n long"
+
+
+def _cut(training: DataFrame, path: str, columns: np.ndarray, shards: int, rounds: int) -> DataFrame:
+    """All windows of the training text, dealt by document and position; and, under round -1, how
+    often ids have each context."""
+    wide = _CONTEXTS + 1
+
+    def batch_of(**given) -> pa.RecordBatch:
+        n = len(next(iter(given.values())))
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        names = [c.split()[0] for c in _CUT.split(", ")]
+        arrays = [pa.array(given.get(c, [None] * n), t) for c, t in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sub, around = subwords(path), None
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0), _SLICE):
+            ids_of = batch.column("id_hash").to_numpy().view(np.uint64)
+            for low, high, data, offsets in text_slices(batch.column("text"), _SLICE):
                 found = words_of(data, offsets)
-                h = found.hashes
-                if not len(h):
-                    continue
-                # Chosen by the words themselves, so a rerun draws the same.
-                mixed = h ^ np.roll(h, 1) * np.uint64(3) ^ np.roll(h, 2) * np.uint64(5)
-                at = np.flatnonzero((mixed >> np.uint64(11)).astype(float) / 2.0**53 < rate)
-                rows = []
-                for i in at:
-                    last = min(len(h), i + SAMPLE_WORDS)
-                    last = i + int(np.searchsorted(found.doc[i:last], found.doc[i], "right"))
-                    spans = np.arange(i, last)
-                    ids, _ = model.of(h[spans], found, spans)
-                    whole = last == len(h) or found.doc[last] != found.doc[i]
-                    opening = i == 0 or found.doc[i - 1] != found.doc[i]
-                    ids = [model.begin] * int(opening) + ids.tolist() + [model.end] * int(whole)
-                    rows.append(ids[: LENGTH + 1])
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["ids"])
-
-    rows = training.select("text").mapInArrow(draw, "ids array<int>").toArrow()["ids"].to_pylist()
-    rows = sorted(r for r in rows if len(r) > 1)
-    # Short ones are put end to end to fill windows.
-    full = [r for r in rows if len(r) == LENGTH + 1]
-    rest = [i for r in rows if len(r) < LENGTH + 1 for i in r]
-    extra = [rest[k : k + LENGTH + 1] for k in range(0, len(rest) - LENGTH, LENGTH + 1)]
-    return np.array(full + extra, np.int64).reshape(-1, LENGTH + 1)
+                distinct, at, inverse = np.unique(
+                    found.hashes, return_index=True, return_inverse=True
+                )
+                ids, each = sub.of(distinct, found, at)
+                n_ids, n_docs = each[inverse], high - low
+                lengths = np.bincount(found.doc, n_ids, n_docs).astype(np.int64) + 2
+                first = np.cumsum(lengths) - lengths
+                sequence = np.empty(int(lengths.sum()), np.int64)
+                inner = np.ones(len(sequence), bool)
+                inner[first] = inner[first + lengths - 1] = False
+                sequence[inner] = ids[_spread((np.cumsum(each) - each)[inverse], n_ids)]
+                sequence[first], sequence[first + lengths - 1] = sub.begin, sub.end
+
+                inside = np.ones(len(sequence) - 1, bool)
+                inside[first[1:] - 1] = False
+                before, after = sequence[:-1][inside], sequence[1:][inside]
+                if around is None:
+                    around = np.zeros(2 * sub.size * wide, np.int32)
+                for side, (a, b) in enumerate(((before, after), (after, before))):
+                    cells, n = np.unique(
+                        (side * sub.size + a) * wide + columns[b], return_counts=True
+                    )
+                    around[cells] += n.astype(np.int32)
+
+                windows, begin = _windows(sequence, lengths)
+                doc = np.searchsorted(first, begin, "right") - 1
+                place = (begin - first[doc]).astype(np.uint64)
+                pick = mix(ids_of[low:high][doc] + mix(place + np.uint64(1))) >> np.uint64(1)
+                dealt = (mix(pick) % np.uint64(shards * rounds)).astype(np.int64)
+                raw = windows.astype(np.uint16)
+                yield batch_of(
+                    round=dealt // shards,
+                    shard=dealt % shards,
+                    pick=pick.astype(np.int64),
+                    ids=[w.tobytes() for w in raw],
+                )
+        if around is not None:
+            cells = np.flatnonzero(around)
+            yield batch_of(round=np.full(len(cells), -1), cell=cells, n=around[cells])
+
+    spark = training.sparkSession
+    folder = shared.new_path(spark, "windows")
+    made = training.select(F.xxhash64("doc_id").alias("id_hash"), "text").mapInArrow(cut, _CUT)
+    made.write.partitionBy("round").parquet(folder)
+    return spark.read.schema(_CUT).parquet(folder)
+
+
+def _matrix_of(packed: pa.ChunkedArray) -> np.ndarray:
+    ids = np.frombuffer(b"".join(packed.to_pylist()), np.uint16)
+    return ids.astype(np.int64).reshape(-1, LENGTH + 1)
+
+
+def _learn_round(windows: DataFrame, net: Attention, of: int, rounds: int) -> None:
+    """Learn from all windows of a round, a task for each shard."""
+    sent = windows.sparkSession.sparkContext.broadcast(net)
+    values = [f"v{k}" for k in range(DIM)]
+
+    def learn(table: pa.Table) -> pa.Table:
+        mine = Attention.__new__(Attention)
+        mine.__dict__.update({k: v.copy() for k, v in sent.value.__dict__.items()})
+        ids = _matrix_of(table["ids"])[np.argsort(table["pick"].to_numpy(), kind="stable")]
+        mine.learn(ids, of / rounds, 1 / rounds)
+        rows = mine.rows()
+        weight = np.full(len(rows), float(len(ids)))
+        weight[: len(mine.embed)] = np.bincount(ids[:, :-1].ravel(), minlength=len(mine.embed))
+        some = np.flatnonzero(weight)
+        sums = rows[some] * weight[some, None]
+        return pa.table([some, weight[some], *sums.T.copy()], names=["row", "w", *values])
+
+    learnt = (
+        windows.filter(F.col("round") == of)
+        .select("shard", "pick", "ids")
+        .groupBy("shard")
+        .applyInArrow(learn, ", ".join(["row long", "w double", *(f"{v} double" for v in values)]))
+        .groupBy("row")
+        .agg(*(F.sum(c).alias(c) for c in ("w", *values)))
+        .toArrow()
+    )
+    rows = net.rows()
+    sums = np.stack([learnt[v].to_numpy() for v in values], 1)
+    rows[learnt["row"].to_numpy()] = sums / learnt["w"].to_numpy()[:, None]
+    net.set_rows(rows)
+
+
+def _fitted(training: DataFrame, path: str, id_counts: np.ndarray, sub: Subwords) -> Attention:
+    """The layer, its classes and weights made from all training text."""
+    counts = id_counts.copy()
+    counts[sub.begin] += id_counts[sub.end]
+    n_windows = max(1, int(counts.sum()) // LENGTH)
+    shards = min(MAX_SHARDS, max(1, n_windows // (2 * PART_WINDOWS)))
+    rounds = max(1, -(-n_windows // (shards * PART_WINDOWS)))
+    cut = _cut(training, path, _columns(counts), shards, rounds)
+    cells = cut.filter("round = -1").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    flat = np.zeros(2 * sub.size * (_CONTEXTS + 1), np.float32)
+    flat[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    around = np.concatenate(flat.reshape(2, sub.size, _CONTEXTS + 1), axis=1)
+    net = Attention(id_classes(around, counts, sub.starts, sub.end), sub.size)
+    windows = cut.filter("round >= 0")
+    rate = min(1.0, 1.2 * SAMPLE_WINDOWS / n_windows)
+    drawn = windows.filter(F.col("pick") <= int(rate * (2**63 - 1))) if rate < 1 else windows
+    sample = drawn.select("pick", "ids").orderBy("pick", "ids").limit(SAMPLE_WINDOWS).toArrow()
+    if sample.num_rows:
+        net.fit(_matrix_of(sample["ids"]))
+        for of in range(rounds):
+            _learn_round(windows, net, of, rounds)
+    return net
 
 
 def _count(path: str):
@@ -437,11 +583,8 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     id_counts[of_ids["word"].to_numpy()] = of_ids["n"].to_numpy()
     id_counts[sub.end] = n_docs
 
-    windows = _sample(docs.filter("not held_out"), vocabulary_path, n_words)
-    classes = id_classes(windows, sub.starts, sub.end)
-    net = Attention(classes, sub.size)
-    if len(windows):
-        net.fit(windows)
+    net = _fitted(docs.filter("not held_out"), vocabulary_path, id_counts, sub)
+    classes = net.classes
     # Words begin with one word-initial id each, so these count the words of a class.
     class_counts = np.bincount(classes, id_counts)
     model = spark.sparkContext.broadcast((net, _within(classes, id_counts), class_counts))

@@ -110,3 +110,47 @@ def test_odd_rows_and_empty(odd, none):
         assert rows[0].base_score == pytest.approx(want[i][4], rel=1e-9)
     assert got[1][0].n_tokens == 1 and math.isfinite(got[1][0].score)
     assert lm.score_texts(none, PATH).isEmpty()
+
+
+def test_windows_predict_every_id_once():
+    rng = np.random.default_rng(3)
+    lengths = np.array([2, 33, 34, 100, 65, 3])
+    sequence = np.arange(lengths.sum())
+    got, _ = lm._windows(sequence, lengths)
+    first = set((np.cumsum(lengths) - lengths).tolist())
+    pairs = {(a, b) for w in got.tolist() for a, b in zip(w, w[1:])}
+    assert {(i - 1, i) for i in sequence.tolist() if i not in first} <= pairs
+    tiny, _ = lm._windows(np.array([1, 2]), np.array([2]))
+    assert tiny.shape == (1, lm.LENGTH + 1)
+
+
+def test_all_text_is_learnt_from(spark, monkeypatch):
+    """Every window reaches a round; copies are dealt apart; classes know all frequent ids."""
+    monkeypatch.setattr(lm, "PART_WINDOWS", 40)
+    monkeypatch.setattr(lm, "SAMPLE_WINDOWS", 20, raising=False)
+    monkeypatch.setattr(lm, "STEPS", 2)
+    sub = lm.subwords(PATH)
+    texts = ["a house of copies " * 60] * 40 + [f"the river number {i} is long" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rounds = []
+    learn = lm._learn_round
+
+    def watched(windows, net, of, total):
+        before = net.rows()
+        n = windows.filter(f"round = {of}").groupBy("shard").count().collect()
+        learn(windows, net, of, total)
+        rounds.append((total, sum(r["count"] for r in n), (net.rows() != before).any()))
+
+    monkeypatch.setattr(lm, "_learn_round", watched)
+    counts = np.zeros(sub.size)
+    for text in texts:
+        for word in words(text):
+            np.add.at(counts, sub.model.encode(word.decode() if isinstance(word, bytes) else word), 1)
+    counts[sub.end] = len(texts)
+    net = lm._fitted(docs, PATH, counts, sub)
+    n_next = int(counts.sum())
+    assert len(rounds) == rounds[0][0] > 1 and all(changed for *_, changed in rounds)
+    assert all(n for _, n, _ in rounds)
+    assert sum(n for _, n, _ in rounds) * lm.LENGTH >= n_next
+    often = np.flatnonzero((counts >= 5) & sub.starts)
+    assert (net.classes[often] != lm.START_CLASSES).all()
