@@ -1,8 +1,9 @@
 """Session settings the operators are designed for, and where to cut lineage."""
 
+import tempfile
 import warnings
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes reduce partitions, picks broadcast joins from measured sizes and splits
 # skewed join partitions. The first three are Spark defaults, stated because plans rely on them.
@@ -29,3 +30,19 @@ def use_checkpoint_dir(spark: SparkSession) -> str | None:
         return sc.getCheckpointDir()
     sc.setCheckpointDir(folder)
     return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once, kept in the checkpoint folder with its lineage cut.
+
+    A local session without ``spark.checkpoint.dir`` gets a temporary folder; on a cluster, where
+    executors would not share it, that is an error.
+    """
+    sc = df.sparkSession.sparkContext
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None) is not None:
+        use_checkpoint_dir(df.sparkSession)
+    elif sc.getCheckpointDir() is None:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint()
