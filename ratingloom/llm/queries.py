@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import chat, langid, line_dedup, lm, minhash, mixing, packing, quality, spotsigs, vectors
+from ratingloom.llm import audit, chat, langid, line_dedup, lm, minhash, mixing, packing, quality, spotsigs, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -81,6 +85,7 @@ QUERIES = {
     "op8_lm": op8_lm,
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
+    "op11_audit": op11_audit,
 }
 
 # The mix follows from the shuffle and the targets; the schedule decides its order only.
@@ -199,9 +204,58 @@ where label is null or embedding is null
   or len(list_filter(embedding, lambda x: x <> 0)) = 0
 """
 
+_AUDIT = r"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
+), marks as (
+  select doc_id, max(quality) as quality, max(toxic) as toxic from labels group by doc_id
+), failed as (
+  select x.part, m.quality, m.toxic,
+    case when len(w) < 200 then 1 else 0 end
+    + case when 100 * len(list_distinct(w)) < 50 * len(w) then 2 else 0 end
+    + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 4 else 0 end
+    + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+    + case when x.doc_id > min(x.doc_id) over (partition by t) then 16 else 0 end as mask
+  from texts x left join marks m on x.doc_id = m.doc_id
+), masks as (
+  select part, mask, count(*) as n, count(*) filter (quality = 1) as good,
+    count(*) filter (toxic = 1) as bad
+  from failed group by part, mask
+), letters(l, b) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order, [a.b, b.b, c.b, d.b, e.b] as bits
+  from letters a, letters b, letters c, letters d, letters e
+  where a.b | b.b | c.b | d.b | e.b = 31
+), steps as (
+  select filter_order, cast(step as int) as step, bits[step] as bit,
+    cast(coalesce(list_sum(bits[1:step - 1]), 0) as int) as before
+  from orders, range(1, 6) as r(step)
+), counted as (
+  select part, filter_order, step, bit,
+    sum(n) filter (mask & (before | bit) = 0) as kept,
+    sum(n) filter (mask & before = 0 and mask & bit <> 0) as removed,
+    sum(n) filter (mask & before <> 0 and mask & bit <> 0) as redundant,
+    sum(n) filter (mask = bit) as unique_fails,
+    sum(good) filter (mask & before = 0 and mask & bit <> 0) as good_lost,
+    sum(bad) filter (mask & before = 0 and mask & bit <> 0) as toxic_lost
+  from masks, steps group by part, filter_order, step, bit
+)
+select part, filter_order, step,
+  cast(coalesce(kept, 0) as bigint) as kept, cast(coalesce(removed, 0) as bigint) as removed,
+  cast(coalesce(redundant, 0) as bigint) as redundant,
+  cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+  cast(coalesce(good_lost, 0) as bigint) as good_lost,
+  cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+  cast(coalesce(sum(removed) over (partition by part, bit), 0) as bigint) as shapley
+from counted
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _MIXING,
     "op3_line_dedup": _LINES,
     "op5_chat": _CHATS,
     "op9_vectors": _VECTORS,
+    "op11_audit": _AUDIT,
 }

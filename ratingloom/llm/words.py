@@ -122,10 +122,12 @@ def text_slices(
         low = high
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, with_hashes: bool = True) -> Words:
-    """Words of concatenated texts."""
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, with_hashes: bool = True, lower: bool = True
+) -> Words:
+    """Words of concatenated texts; without ``lower``, letters stay as they are."""
     n = len(data)
-    data = _LOWER[data]
+    data = _LOWER[data] if lower else data
     inside = ~_WHITE[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
