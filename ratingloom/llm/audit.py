@@ -129,6 +129,8 @@ def failures(docs: DataFrame) -> DataFrame:
     )
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     bit = 1 << FILTERS.index("E")
+    # Stored, so that the join shuffles both sides and adaptive execution can split a hot digest.
+    first = shared.stored(first, "first")
     return judged.join(first, "digest", "left").select(
         "doc_id", "part", F.col("failed").bitwiseOR(F.when(copy, bit).otherwise(0)).alias("failed")
     )
@@ -268,4 +270,5 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(*[F.max(F.col(c).cast("int")).alias(c) for c in ("quality", "toxic")])
     )
+    marks = shared.stored(marks, "marks")
     return report(survivors(failures(docs).join(marks, "doc_id", "left")))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import audit, chat, langid, line_dedup, lm, minhash, mixing, packing, quality, spotsigs, vectors
+from ratingloom.llm import whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,10 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -86,6 +91,7 @@ QUERIES = {
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
     "op11_audit": op11_audit,
+    "op13_whitening": op13_whitening,
 }
 
 # The mix follows from the shuffle and the targets; the schedule decides its order only.
