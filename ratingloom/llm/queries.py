@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import audit, chat, langid, line_dedup, lm, minhash, mixing, packing, quality, spotsigs, vectors
-from ratingloom.llm import whitening
+from ratingloom.llm import audit, chat, langid, line_dedup, lm, minhash, mixing, packing, quality
+from ratingloom.llm import spotsigs, substrings, vectors, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept_text", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -91,6 +97,7 @@ QUERIES = {
     "op9_vectors": op9_vectors,
     "op10_langid": op10_langid,
     "op11_audit": op11_audit,
+    "op12_substrings": op12_substrings,
     "op13_whitening": op13_whitening,
 }
 
@@ -258,10 +265,32 @@ select part, filter_order, step,
 from counted
 """
 
+# A word is covered if a repeated window starts at it or at one of the 34 words before.
+_SUBSTRINGS = r"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, p, sha256(array_to_string(w[p:p + 34], ' ')) as h
+  from texts, range(1, len(w) - 33) as r(p)
+), repeated as (
+  select doc_id, p from windows qualify count(*) over (partition by h) > 1
+), words as (
+  select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from texts
+), marked as (
+  select k.doc_id, k.p, k.word, max(r.p) over (
+    partition by k.doc_id order by k.p rows between 34 preceding and current row) is not null as gone
+  from words k left join repeated r on k.doc_id = r.doc_id and k.p = r.p
+)
+select t.doc_id, count(m.p) as n_words, count(m.p) filter (gone) as n_removed,
+  sha256(coalesce(string_agg(word, ' ' order by m.p) filter (not gone), '')) as kept_sha256
+from texts t left join marked m on t.doc_id = m.doc_id group by t.doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _MIXING,
     "op3_line_dedup": _LINES,
     "op5_chat": _CHATS,
     "op9_vectors": _VECTORS,
     "op11_audit": _AUDIT,
+    "op12_substrings": _SUBSTRINGS,
 }

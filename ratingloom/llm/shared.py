@@ -5,7 +5,12 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Size of the bit maps that say which rows of a wide table a narrow one may want.
+FILTER_BITS = 1 << 24
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,3 +61,32 @@ def ship(spark: SparkSession) -> None:
     )
     context.addPyFile(archive)
     context._llm_shipped = True
+
+
+def bit_filter(wanted: DataFrame, hashed: Column):
+    """A broadcast bit map of the 64-bit hashes of ``wanted``, for ``may_hold``.
+
+    It has ``FILTER_BITS`` bits whatever the input, so it costs two megabytes. Where it fills up
+    it lets more rows through; what it turns away is never wanted.
+    """
+    place = F.pmod(hashed, F.lit(FILTER_BITS))
+    longs = (
+        wanted.select(place.alias("place"))
+        .select(
+            F.floor(F.col("place") / 64).cast("long").alias("at"),
+            F.expr("shiftleft(1L, int(place % 64))").alias("bit"),
+        )
+        .groupBy("at")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
+    bitmap[longs["at"].to_numpy()] = longs["bits"].to_numpy()
+    return wanted.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+
+
+def may_hold(bits, hashed: np.ndarray) -> np.ndarray:
+    """Which of the hashes the broadcast bit map may hold; its bits are tested where they lie."""
+    held = np.frombuffer(bits.value, np.uint8)
+    place = hashed & (FILTER_BITS - 1)
+    return (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
