@@ -26,10 +26,13 @@ LENGTH = 4096
 END_ID = 2
 DIMS = 4
 DIM_BITS = 10
-#: Words whose ids a Python worker keeps.
-_KEPT = 300_000
+#: Words met lately whose ids a Python worker keeps, and at most as many older ones.
+_KEPT = 200_000
 _TOGETHER = 1000
 _SEQUENCES_PER_PARTITION = 1 << 32
+#: Documents drawn to cut the curve into ranges: for each range, and in all.
+_PER_RANGE = 200
+_DRAWN = 1_000_000
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -77,27 +80,85 @@ def _keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.where(found.per_doc() > 0, hilbert_index(points, DIM_BITS), 0)
 
 
-def along_curve(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, place`` in curve order, range-partitioned."""
+_LEAST_ID = -(2**63)
+
+
+def _curve_bounds(texts: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``n - 1`` pairs (place, doc_id) that cut the curve into ranges of as many bytes.
+
+    They come from some ``_PER_RANGE`` documents a range, drawn by a hash, at most ``_DRAWN`` in
+    all. They decide which task packs a document, nothing else.
+    """
+    rows = texts.count()
+    share = min(1.0, min(_PER_RANGE * n, _DRAWN) / max(rows, 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, offsets in text_slices(batch.column(1)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0)[low:high],
-                        batch.column(1)[low:high],
                         pa.array(_keys(data, offsets), pa.int64()),
+                        batch.column(0)[low:high].fill_null(_LEAST_ID),
+                        pa.array(np.diff(offsets) + 64, pa.int64()),
                     ],
-                    ["doc_id", "text", "place"],
+                    ["place", "doc_id", "size"],
                 )
 
-    placed = docs.select(
+    found = texts.filter(drawn).mapInArrow(place, "place long, doc_id long, size long").toArrow()
+    places, ids, size = (found[c].to_numpy() for c in ("place", "doc_id", "size"))
+    order = np.lexsort((ids, places))
+    total = np.cumsum(size[order])
+    if not len(total):
+        return places, ids
+    cuts = np.searchsorted(total, total[-1] * np.arange(1, n) / n)
+    cuts = order[np.unique(cuts)]
+    return places[cuts], ids[cuts]
+
+
+def _range_of(places: np.ndarray, ids: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]):
+    """The range of each (place, id): the number of bounds below it."""
+    low = np.searchsorted(bounds[0], places, "left")
+    high = np.searchsorted(bounds[0], places, "right")
+    for place in np.unique(places[low < high]):
+        of = np.flatnonzero(places == place)
+        own = slice(low[of[0]], high[of[0]])
+        low[of] += np.searchsorted(bounds[1][own], ids[of], "left")
+    return low
+
+
+def along_curve(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, place`` in curve order, range-partitioned.
+
+    Documents of one place are told apart by their ids, so a crowded place is split over ranges.
+    """
+    texts = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    ).mapInArrow(place, "doc_id long, text string, place long")
+    )
     n = shared.partitions(docs.sparkSession)
-    return placed.repartitionByRange(n, "place", "doc_id").sortWithinPartitions(
-        "place", "doc_id", "text"
+    bounds = docs.sparkSession.sparkContext.broadcast(_curve_bounds(texts, n))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column(1)):
+                ids = batch.column(0)[low:high]
+                places = _keys(data, offsets)
+                ranges = _range_of(places, ids.fill_null(_LEAST_ID).to_numpy(), bounds.value)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids,
+                        batch.column(1)[low:high],
+                        pa.array(places, pa.int64()),
+                        pa.array(ranges, pa.int32()),
+                    ],
+                    ["doc_id", "text", "place", "range"],
+                )
+
+    placed = texts.mapInArrow(place, "doc_id long, text string, place long, range int")
+    return (
+        placed.repartitionById(n, "range")
+        .sortWithinPartitions("place", "doc_id", "text")
+        .drop("range")
     )
 
 
@@ -106,16 +167,24 @@ class WordTokens:
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
     words. Words are encoded once while they are kept: those of letters only many at a time,
-    told apart by the marks that end words in the vocabulary.
+    told apart by the marks that end words in the vocabulary. Kept are the words met since the
+    last time there were too many, and those of the time before.
+
+    A text that holds one of the tokenizer's added tokens, which are matched before anything else,
+    is encoded whole.
     """
 
     def __init__(self, path: str):
+        self.plain = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.plain.get_added_tokens_decoder().values()]
+        # Lower-cased words that only look like an added token are words.
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.marks = {c: self._single([c])[0] for c in string.punctuation}
 
     def _single(self, words: list[str]) -> list[bytes]:
@@ -140,7 +209,11 @@ class WordTokens:
     def learn(self, words: set[bytes]) -> None:
         new = words - self.known.keys()
         if len(self.known) + len(new) > _KEPT:
-            self.known, new = {}, words
+            self.known, self.older, new = {}, self.known, words
+        if self.older:
+            again = new & self.older.keys()
+            self.known.update((word, self.older[word]) for word in again)
+            new = new - again
         letters: dict[str, list[tuple[bytes, bytes]]] = {}
         other: list[bytes] = []
         for word in new:
@@ -157,11 +230,21 @@ class WordTokens:
         self.known.update(zip(other, self._single([w.decode() for w in other])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of lower-cased texts."""
-        split = [text.split() for text in texts]
+        """Ids of texts."""
+        whole = {
+            i
+            for token in self.added
+            for i, text in enumerate(texts)
+            if token in text
+        }
+        split = [[] if i in whole else text.lower().split() for i, text in enumerate(texts)]
         self.learn(set().union(*split))
         known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        out = [b"".join([known[w] for w in words]) for words in split]
+        for i in whole:
+            ids = self.plain.encode(texts[i].decode(), add_special_tokens=False).ids
+            out[i] = np.array(ids, "<u4").tobytes()
+        return out
 
 
 _tokens: dict[str, WordTokens] = {}
@@ -234,7 +317,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for low, high, data, offsets in text_slices(batch.column(1)):
-                raw = data.tobytes().lower()
+                raw = data.tobytes()
                 at = offsets.tolist()
                 texts = [raw[a:b] for a, b in zip(at, at[1:])]
                 yield packer.add(ids[low:high], tokens.encode(texts), end)

@@ -12,7 +12,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def _check(rows, pieces, length=4096):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want, got = defaultdict(list), defaultdict(list)
     for doc_id, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids
@@ -50,6 +49,39 @@ def test_odd_rows_and_empty(odd, none):
     assert packing.pack(none, PATH).isEmpty()
 
 
+def test_added_tokens_are_those_of_the_plain_call(spark):
+    texts = [
+        "ab <|endoftext|> cd", "ab<|endoftext|>cd", "<|ENDOFTEXT|> x", "<|startoftext|><|endoftext|>",
+        "<|StartofText|>", "one two", "<|endoftext|", "Ünï <|endoftext|> Ü",
+    ]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _check(rows, packing.pack(docs, PATH, length=8).collect(), 8)
+
+
+def test_words_kept_and_forgotten(small_rows, monkeypatch):
+    monkeypatch.setattr(packing, "_KEPT", 500)
+    tokens = packing.WordTokens(PATH)
+    texts = [(r["text"] or "").encode() for r in small_rows[:60]]
+    want = packing.Tokenizer.from_file(PATH)
+    for low in range(0, 60, 5):
+        for text, ids in zip(texts[low : low + 5], tokens.encode(texts[low : low + 5])):
+            assert ids == np.array(want.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokens.older
+
+
+def test_one_place_is_split_by_id(spark):
+    """Texts of one place, a third of all, are dealt to several tasks."""
+    rows = [(i, "same words here" if i % 3 == 0 else f"word{i} other{i * 7}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    placed = packing.along_curve(docs)
+    of = placed.select("doc_id", "text", packing.F.spark_partition_id().alias("part")).collect()
+    assert len({r.part for r in of if r.doc_id % 3 == 0}) > 1
+    sizes = [sum(r.part == k for r in of) for k in {r.part for r in of}]
+    assert sum(sizes) == 3000 and max(sizes) < 1000
+    _check(rows, packing.pack(docs, PATH).collect())
+
+
 def test_hilbert_neighbours_are_adjacent():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     index = packing.hilbert_index(grid, 3)
