@@ -11,6 +11,7 @@ Word counts go to a table of ``BUCKETS`` hashed words, whatever the corpus.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -113,17 +114,21 @@ def _shape(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack(columns, 1)
 
 
-def evidence(docs: DataFrame, table: np.ndarray, shares: list[float]) -> DataFrame:
+def evidence(docs: DataFrame, table: np.ndarray, shares: list[float], skip=None) -> DataFrame:
     """``docs`` (doc_id, text, labels, host, path) without text, with evidence for each goal.
 
-    The counts that a labelled document is judged by leave out its own.
+    The counts that a labelled document is judged by leave out its own. Rows whose ``hashed``
+    the bit map ``skip`` may hold are left out.
     """
     held = docs.sparkSession.sparkContext.broadcast(table)
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if c not in ("text", "hashed")]
     names = [*SHAPE, *(f"{g}_{side}_{e}" for g in GOALS for side in ("no", "yes") for e in EVIDENCE)]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if skip is not None:
+                stay = ~shared.may_hold(skip, batch.column("hashed").to_numpy())
+                batch = batch.take(pa.array(np.flatnonzero(stay)))
             text = batch.column("text")
             goals = [
                 batch.column(g).fill_null(-1).to_numpy(zero_copy_only=False) for g in GOALS
@@ -157,71 +162,103 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def shrunk_shares(labelled: DataFrame, goal: str) -> DataFrame:
-    """``host, path, odds``: log odds that a path's documents have over the whole corpus.
+@dataclass
+class Sites:
+    """Labels of paths and hosts, and how many labels the prior of either is worth.
+
+    ``paths`` has host, path, path_n, path_k (labels, and those that are 1), ``hosts`` has host,
+    host_n and host_k.
+    """
+
+    paths: DataFrame
+    hosts: DataFrame
+    overall: float
+    host_strength: float
+    path_strength: float
+
+    def odds(self, label: Column) -> Column:
+        """Log odds over the whole corpus, from the counts of a row's sites; 0 for unknown ones.
+
+        A row with a label is left out of the counts that it is judged by.
+        """
+        own = F.when(label.isNotNull(), 1).otherwise(0)
+        yes = F.coalesce(label, F.lit(0))
+        n, k = ({c: F.coalesce(F.col(f"{c}_{x}"), own if x == "n" else yes) for c in ("host", "path")} for x in "nk")
+        host = (k["host"] - yes + self.host_strength * self.overall) / (
+            n["host"] - own + self.host_strength
+        )
+        path = (k["path"] - yes + self.path_strength * host) / (
+            n["path"] - own + self.path_strength
+        )
+        return _logit(path) - float(np.log(self.overall / (1 - self.overall)))
+
+
+def shrunk_shares(labelled: DataFrame, goal: str) -> Sites:
+    """Counts of ``labelled`` (host, path, goal) by site, and the strengths of the priors.
 
     A site's strength of prior follows from the spread of the shares of sites of its level: the
     method of moments for a beta distribution, over sites weighted by their labels.
     """
-    per_path = labelled.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(goal).alias("k")
+    per_path = shared.stored(
+        labelled.groupBy("host", "path").agg(
+            F.count(F.lit(1)).alias("path_n"), F.sum(goal).alias("path_k")
+        ),
+        "paths",
     )
-    per_host = per_path.groupBy("host").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-
-    def moments(sites: DataFrame, centre: Column) -> tuple[float, float]:
-        """Overall share, and how many labels the prior of such a site is worth."""
-        p = F.col("k") / F.col("n")
-        row = sites.withColumn("centre", centre).agg(
-            F.sum("k") / F.sum("n"),
-            F.sum(F.col("n") * (p - F.col("centre")) ** 2),
-            F.sum(F.col("centre") * (1 - F.col("centre"))),
-            F.sum(F.col("n") * F.col("centre") * (1 - F.col("centre"))),
-            F.count(F.lit(1)),
+    per_host = shared.stored(
+        per_path.groupBy("host").agg(
+            F.sum("path_n").alias("host_n"), F.sum("path_k").alias("host_k")
+        ),
+        "hosts",
+    )
+
+    def strength(sites: DataFrame, of: str, centre: Column) -> float:
+        n, k = F.col(f"{of}_n"), F.col(f"{of}_k")
+        spread, chance, weighted = sites.agg(
+            F.sum(n * (k / n - centre) ** 2),
+            F.sum(centre * (1 - centre)),
+            F.sum(n * centre * (1 - centre)),
         ).first()
         # Beyond the binomial variance, the sum grows by the variance between sites times labels.
-        share, spread, chance, weighted, _ = (float(x or 0) for x in row)
-        extra = spread - chance
-        return share, max(1.0, weighted / extra if extra > 1e-9 else 1e6)
-
-    overall = labelled.agg(F.avg(F.col(goal).cast("double"))).first()[0] or 0.5
-    overall = min(max(overall, 1e-3), 1 - 1e-3)
-    _, host_strength = moments(per_host, F.lit(overall))
-    hosts = per_host.select(
-        "host",
-        ((F.col("k") + host_strength * overall) / (F.col("n") + host_strength)).alias("host_share"),
-    )
-    joined = per_path.join(hosts, per_path["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-    _, path_strength = moments(joined, F.col("host_share"))
-    share = (F.col("k") + path_strength * F.col("host_share")) / (F.col("n") + path_strength)
-    base = float(np.log(overall / (1 - overall)))
-    paths = joined.select("host", "path", (_logit(share) - base).alias("odds"))
-    alone = hosts.select("host", F.lit(None).cast("string").alias("path"), (_logit(F.col("host_share")) - base).alias("odds"))
-    return paths.unionByName(alone.filter("host is not null"))
+        extra = (spread or 0.0) - (chance or 0.0)
+        return max(1.0, weighted / extra if extra > 1e-9 else 1e6)
+
+    total, yes = per_host.agg(F.sum("host_n"), F.sum("host_k")).first()
+    overall = min(max(yes / total if total else 0.5, 1e-3), 1 - 1e-3)
+    hosts = strength(per_host, "host", F.lit(overall))
+    share = (F.col("host_k") + hosts * overall) / (F.col("host_n") + hosts)
+    centred = per_host.select(F.col("host").alias("of"), share.alias("centre"))
+    joined = per_path.join(centred, per_path["host"].eqNullSafe(centred["of"]))
+    return Sites(per_path, per_host, overall, hosts, strength(joined, "path", F.col("centre")))
 
 
-def _with_site_odds(docs: DataFrame, shares: DataFrame, out: str) -> DataFrame:
-    """Join path odds, or the host's where the path has no label; 0 for an unknown site.
+def _with_site_counts(docs: DataFrame, sites: Sites) -> DataFrame:
+    """Join the counts of a row's path and host; null is a host, but no path.
 
     Site tables are small beside documents; a hot host's documents are split over salts.
     """
     salts = 16
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts))
-    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    by_path = shares.filter("path is not null").select(
-        F.col("host").alias("h"), F.col("path").alias("p"), F.col("odds").alias("path_odds"), spread.alias("s")
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("s")
+    by_path = sites.paths.select(
+        F.col("host").alias("h"), F.col("path").alias("p"), "path_n", "path_k", spread
     )
-    by_host = shares.filter("path is null").select(
-        F.col("host").alias("h"), F.col("odds").alias("host_odds"), spread.alias("s")
-    )
-    docs = docs.withColumn("salt", salt)
-    docs = docs.join(
-        by_path,
-        docs["host"].eqNullSafe(by_path["h"]) & (docs["path"] == by_path["p"]) & (docs["salt"] == by_path["s"]),
-        "left",
-    ).drop("h", "p", "s")
-    docs = docs.join(by_host, (docs["host"] == by_host["h"]) & (docs["salt"] == by_host["s"]), "left")
-    odds = F.coalesce("path_odds", "host_odds", F.lit(0.0))
-    return docs.withColumn(out, odds).drop("h", "s", "salt", "path_odds", "host_odds")
+    by_host = sites.hosts.select(F.col("host").alias("h"), "host_n", "host_k", spread)
+    docs = docs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+    same = docs["host"].eqNullSafe(by_path["h"]) & (docs["path"] == by_path["p"])
+    docs = docs.join(by_path, same & (docs["salt"] == by_path["s"]), "left").drop("h", "p", "s")
+    same = docs["host"].eqNullSafe(by_host["h"]) & (docs["salt"] == by_host["s"])
+    return docs.join(by_host, same, "left").drop("h", "s", "salt")
+
+
+def _picked(rows: DataFrame, bits) -> DataFrame:
+    """The rows whose ``hashed`` the bit map may hold."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            use = np.flatnonzero(shared.may_hold(bits, batch.column("hashed").to_numpy()))
+            yield batch.take(pa.array(use))
+
+    return rows.mapInArrow(pick, rows.schema)
 
 
 def assess(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFrame:
@@ -230,7 +267,8 @@ def assess(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFram
     ``labels`` has doc_id, quality and toxic, each 0, 1 or null; of repeated labels the largest
     holds. ``quality`` and ``toxic`` are probabilities; kept are documents of at least ``least``
     quality and less than ``least`` toxicity. A null text is empty and judged by its shape and
-    site. A row without doc_id has no label. Without any labels of a goal, or of one value only,
+    site. A labelled row is judged without its own label, in the counts of words as of sites. A
+    row without doc_id has no label; null is a host like others. Without any labels of a goal, or of one value only,
     its probability is that value's, or 0.5. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -246,13 +284,19 @@ def assess(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFram
         F.col("host").cast("string"),
         F.col("path").cast("string"),
     )
-    # Labels are narrow and texts wide: what is shuffled is ids, once, and texts where they lie.
-    marked = rows.join(marks, rows["doc_id"] == marks["labelled_id"], "left").drop("labelled_id")
+    # Texts are shuffled only if their ids may be labelled; all others are judged where they lie.
+    rows = rows.withColumn("hashed", F.xxhash64("doc_id"))
+    marks = shared.stored(marks, "marks")
+    bits = shared.bit_filter(marks, F.xxhash64("labelled_id"))
+    marked = _picked(rows, bits).join(marks, F.col("doc_id") == F.col("labelled_id"), "left")
+    marked = shared.stored(marked.drop("labelled_id", "hashed"), "marked")
     labelled = marked.filter("quality is not null or toxic is not null")
     table = _word_table(labelled)
     counts = labelled.agg(*[F.avg(F.col(g).cast("double")) for g in GOALS]).first()
     shares = [min(max(c if c is not None else 0.5, 1e-3), 1 - 1e-3) for c in counts]
-    scored = shared.stored(evidence(marked, table, shares), "evidence")
+    rest = rows.withColumns({g: F.lit(None).cast("int") for g in GOALS})
+    judged = evidence(marked, table, shares).unionByName(evidence(rest, table, shares, bits))
+    scored = shared.stored(judged, "evidence")
     for goal, average in zip(GOALS, counts):
         scored = _predicted(scored, goal, average)
     good = (F.col("quality_p") >= least) & (F.col("toxic_p") < least)
@@ -273,9 +317,10 @@ def _predicted(scored: DataFrame, goal: str, average: float | None) -> DataFrame
     vectors = VectorAssembler(inputCols=features, outputCol="features").transform(scored)
     known = vectors.filter(F.col(goal).isNotNull())
     model = LogisticRegression(labelCol=goal, regParam=1e-4, maxIter=50).fit(known)
-    shares = shared.stored(shrunk_shares(known, goal), "shares")
+    sites = shrunk_shares(known, goal)
     judged = model.transform(vectors).withColumn("own", vector_to_array("rawPrediction")[1])
     judged = judged.drop("features", "rawPrediction", "probability", "prediction")
-    judged = _with_site_odds(judged, shares, "site")
+    judged = _with_site_counts(judged, sites).withColumn("site", sites.odds(F.col(goal)))
+    judged = judged.drop("path_n", "path_k", "host_n", "host_k")
     p = 1 / (1 + F.exp(-(F.col("own") + F.col("site"))))
     return judged.withColumn(out, p).drop("own", "site")

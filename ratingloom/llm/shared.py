@@ -88,5 +88,5 @@ def bit_filter(wanted: DataFrame, hashed: Column):
 def may_hold(bits, hashed: np.ndarray) -> np.ndarray:
     """Which of the hashes the broadcast bit map may hold; its bits are tested where they lie."""
     held = np.frombuffer(bits.value, np.uint8)
-    place = hashed & (FILTER_BITS - 1)
+    place = hashed & (8 * len(held) - 1)
     return (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1

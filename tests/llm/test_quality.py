@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,15 +27,100 @@ def test_held_out_labels(spark, sf_dir):
     assert row[0] > 0.95 and row[1] > 0.95
 
 
-def test_sparse_sites_are_drawn_to_their_host(spark):
-    rows = [("good", f"p{k % 5}", 1) for k in range(200)] + [("bad", f"p{k % 5}", 0) for k in range(200)]
-    rows += [("good", "rare", 0), ("new", "rare", 1)]
-    labelled = spark.createDataFrame(rows, "host string, path string, quality int")
-    odds = {(r.host, r.path): r.odds for r in quality.shrunk_shares(labelled, "quality").collect()}
-    assert odds["good", "p0"] > 1 > -1 > odds["bad", "p0"]
-    assert abs(odds["good", "rare"]) < odds["good", "p0"] or odds["good", "rare"] > 0
-    assert abs(odds["new", "rare"]) < odds["good", "p0"]
-    assert ("good", None) in odds
+def _plain_odds(rows):
+    """Site odds of each row (host, path, label or None), its own label left out, by plain sums."""
+    def add(keys):
+        out = {}
+        for key, y in keys:
+            n, k = out.get(key, (0, 0))
+            out[key] = (n + 1, k + y)
+        return out
+
+    known = [r for r in rows if r[2] is not None]
+    paths = add(((h, p), y) for h, p, y in known)
+    hosts = add((h, y) for h, _, y in known)
+    overall = sum(y for *_, y in known) / len(known)
+    overall = min(max(overall, 1e-3), 1 - 1e-3)
+
+    def strength(sites):
+        spread = sum(n * (k / n - c) ** 2 for n, k, c in sites)
+        chance = sum(c * (1 - c) for _, _, c in sites)
+        weighted = sum(n * c * (1 - c) for n, _, c in sites)
+        return max(1.0, weighted / (spread - chance) if spread - chance > 1e-9 else 1e6)
+
+    of_host = strength([(n, k, overall) for n, k in hosts.values()])
+    centre = {h: (k + of_host * overall) / (n + of_host) for h, (n, k) in hosts.items()}
+    of_path = strength([(n, k, centre[h]) for (h, _), (n, k) in paths.items()])
+
+    def logit(p):
+        return math.log(p / (1 - p))
+
+    out = []
+    for h, p, y in rows:
+        own, yes = (y is not None), y or 0
+        n, k = hosts.get(h, (own, yes))
+        host = (k - yes + of_host * overall) / (n - own + of_host)
+        n, k = paths.get((h, p), (own, yes)) if p is not None else (own, yes)
+        out.append(logit((k - yes + of_path * host) / (n - own + of_path)) - logit(overall))
+    return out
+
+
+def test_site_odds_are_those_of_plain_sums(spark):
+    rng = random.Random(4)
+    rows = [("good", f"p{k % 5}", int(rng.random() < 0.9)) for k in range(200)]
+    rows += [("bad", f"p{k % 5}", int(rng.random() < 0.1)) for k in range(200)]
+    rows += [("good", "rare", 0), ("new", "rare", 1), (None, "p0", 1), (None, None, 0), ("good", None, 1)]
+    rows += [("good", "p0", None), ("good", "unseen", None), ("unseen", "p0", None), ("bad", None, None)]
+    schema = "doc_id long, host string, path string, quality int"
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)
+    sites = quality.shrunk_shares(docs.filter("quality is not null"), "quality")
+    joined = quality._with_site_counts(docs, sites)
+    odds = sites.odds(F.col("quality")).alias("odds")
+    got = {r.doc_id: r.odds for r in joined.select("doc_id", odds).collect()}
+    # A row whose path is null has its host's odds, but for paths a null label groups with others.
+    want = _plain_odds([(h, p, y) for h, p, y in rows])
+    assert [got[i] for i in range(len(rows))] == pytest.approx(want, abs=1e-9)
+    assert got[len(rows) - 4] > 1 and abs(got[len(rows) - 2]) < 1e-9
+
+
+def test_word_evidence_is_that_of_plain_counts(spark):
+    rng = random.Random(9)
+    vocabulary = [f"word{i}" for i in range(30)]
+    rows = []
+    for i in range(60):
+        y = rng.choice([0, 1, None])
+        text = " ".join(rng.choice(vocabulary[: 20 if y else 30]) for _ in range(rng.randint(1, 15)))
+        rows.append((i, text, y, rng.choice([0, 1, None])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    table = quality._word_table(docs)
+    shares = [0.4, 0.3]
+    got = {r.doc_id: r for r in quality.evidence(docs, table, shares).collect()}
+    for g, goal in enumerate(quality.GOALS):
+        seen = {w: [sum(r[2 + g] == v and w in r[1].split() for r in rows) for v in (0, 1)] for w in vocabulary}
+        for r in rows:
+            for v, side, share in ((0, "no", 1 - shares[g]), (1, "yes", shares[g])):
+                ratios = []
+                for w in set(r[1].split()):
+                    counts = [seen[w][x] - (r[2 + g] == x) for x in (0, 1)]
+                    strength = quality.WORD_STRENGTH
+                    part = (counts[v] + strength * share) / (sum(counts) + strength)
+                    ratios.append(math.log(part / share))
+                most = max(0.0, *ratios) if len(ratios) > 1 else max(0.0, ratios[0])
+                telling = math.log1p(sum(max(x - quality.TELLING, 0) for x in ratios))
+                assert got[r[0]][f"{goal}_{side}_most"] == pytest.approx(most)
+                assert got[r[0]][f"{goal}_{side}_telling"] == pytest.approx(telling)
+
+
+def test_labelled_texts_alone_are_shuffled(spark, sf_dir, monkeypatch):
+    """The result is that of a bit map which lets every text through."""
+    docs = _sites(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    few = sorted(tuple(r) for r in quality.assess(docs, labels).collect())
+    monkeypatch.setattr(quality.shared, "FILTER_BITS", 64)
+    all_of_them = sorted(tuple(r) for r in quality.assess(docs, labels).collect())
+    assert [r[0] for r in few] == [r[0] for r in all_of_them]
+    for a, b in zip(few, all_of_them):
+        assert a[1:3] == pytest.approx(b[1:3], abs=1e-6)
 
 
 @pytest.mark.parametrize("marks", [[], [(0, 1, 0), (4, 1, 0)], [(0, 1, None), (9, 0, 1), (9, 1, 1)]])
