@@ -288,6 +288,8 @@ def assess(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataFram
     rows = rows.withColumn("hashed", F.xxhash64("doc_id"))
     marks = shared.stored(marks, "marks")
     bits = shared.bit_filter(marks, F.xxhash64("labelled_id"))
+    # Merged at every size: whether few labels are broadcast would decide how disk use grows.
+    marks = marks.hint("merge")
     marked = _picked(rows, bits).join(marks, F.col("doc_id") == F.col("labelled_id"), "left")
     marked = shared.stored(marked.drop("labelled_id", "hashed"), "marked")
     labelled = marked.filter("quality is not null or toxic is not null")
