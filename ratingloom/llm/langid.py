@@ -22,7 +22,6 @@ from ratingloom.llm import shared
 from ratingloom.llm.words import Words, byte_hashes, span_hashes, text_slices, words_of
 
 UNKNOWN = "und"
-MAX_PIECE = 12
 #: Expected counts are smoothed by so many counts spread as the pieces of all languages are.
 SMOOTHING = 1000.0
 _SLICE = 1 << 21
@@ -39,7 +38,7 @@ def vocabulary(path: str) -> list[bytes]:
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i):
             continue
         piece = model.id_to_piece(i).replace("▁", " ").encode()
-        if b" " not in piece[1:] and len(piece) <= MAX_PIECE:
+        if b" " not in piece[1:]:
             pieces.add(piece.lower())
     return sorted(pieces)
 
@@ -109,8 +108,11 @@ def _lattice(pieces: Pieces, n: int, total: np.ndarray, starts: np.ndarray):
     return ends
 
 
-def _forward(lattice, table: np.ndarray, n: int, words: int):
-    """Scaled forward values by position, and the logarithm of what each was divided by."""
+def _forward(lattice, table: np.ndarray, n: int, words: int, longest: int):
+    """Scaled forward values by position, and the logarithm of what each was divided by.
+
+    ``longest`` is the length of the longest piece: no position looks further back.
+    """
     alpha = np.zeros((n + 1, words, table.shape[1]))
     alpha[0] = 1.0
     scale = np.zeros((n + 1, words, 1))
@@ -120,7 +122,7 @@ def _forward(lattice, table: np.ndarray, n: int, words: int):
             alpha[end] += alpha[begin] * table[ids]
         if end % 16 == 0 and end < n:
             # Divide all values that later positions can still see by one common factor.
-            seen = slice(max(0, end - MAX_PIECE), end + 1)
+            seen = slice(max(0, end - longest), end + 1)
             top = alpha[seen].max((0, 2))[:, None]
             alpha[seen] /= top
             running = running + np.log(top)
@@ -134,7 +136,9 @@ def word_scores(pieces: Pieces, table: np.ndarray, words: list[bytes]) -> np.nda
     """Natural logarithm of each word's probability in each language."""
     out = np.empty((len(words), table.shape[1]))
     for of, n, total, starts in _by_length(words):
-        alpha, scale = _forward(_lattice(pieces, n, total, starts), table, n, len(of))
+        alpha, scale = _forward(
+            _lattice(pieces, n, total, starts), table, n, len(of), pieces.longest
+        )
         out[of] = np.log(np.maximum(alpha[n], 1e-300)) + scale[n]
     return out
 
@@ -147,7 +151,7 @@ def expected_counts(
     out = np.zeros((pieces.n + 1, n_out))
     for of, n, total, starts in _by_length(words):
         lattice = _lattice(pieces, n, total, starts)
-        alpha, scale = _forward(lattice, table, n, len(of))
+        alpha, scale = _forward(lattice, table, n, len(of), pieces.longest)
         end_value, end_scale = np.maximum(alpha[n], 1e-300), scale[n]
         # Backward values relative to the end, kept in the forward pass's scale.
         beta = np.zeros_like(alpha)
@@ -168,16 +172,14 @@ def expected_counts(
     return out[:-1]
 
 
-_built: dict[int, Pieces] = {}
-
-
 def _pieces(broadcast) -> Pieces:
     """The lookup tables of a broadcast vocabulary, built once in a Python worker."""
+    built = shared.only("langid")
     key = zlib.crc32(b"\n".join(broadcast.value))
-    if key not in _built:
-        _built.clear()
-        _built[key] = Pieces(broadcast.value)
-    return _built[key]
+    if key not in built:
+        built.clear()
+        built[key] = Pieces(broadcast.value)
+    return built[key]
 
 
 def _distinct(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,6 +252,7 @@ def _train(docs: DataFrame, langs: list[str], vocab, n_pieces: int) -> np.ndarra
             ],
             ["piece", "lang", "n"],
         )
+        shared.trim()
 
     counted = (
         docs.select("text", "lang")
@@ -359,6 +362,7 @@ def identify(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                     ],
                     ["doc_id", "held_out", "lang_pred", "score"],
                 )
+        shared.trim()
 
     return docs.select("doc_id", "text", "held_out").mapInArrow(
         predict, "doc_id long, held_out boolean, lang_pred string, score double"

@@ -32,8 +32,6 @@ MARGIN = 0.2
 #: Up to so many outsiders of a component are compared pair by pair, more in blocks of nodes.
 FEW = 16
 BLOCK = 128
-#: Size of the filter that says which texts need their full sets.
-FILTER_BITS = 1 << 24
 
 _PER_LONG = 64 // BITS
 _LONGS = HASHES // _PER_LONG
@@ -68,6 +66,7 @@ def _distinct(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int):
+    shared.only("minhash")
     for batch in batches:
         ids = batch.column(0)
         for low, high, data, offsets in text_slices(batch.column(1)):
@@ -117,6 +116,7 @@ def signatures(docs: DataFrame, words: int = 5) -> DataFrame:
                 ],
                 ["doc_id", "n_shingles", "set_a", "set_b", "sig", "bands"],
             )
+        shared.trim()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         sign,
@@ -163,36 +163,22 @@ def _candidates(hubs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``(node, shingles)`` of the nodes in ``wanted`` and of a few others.
 
-    A bit map of ``FILTER_BITS`` bits, whatever the input, spares most texts the hashing and all
-    the shuffle. Where it fills up it lets more through; the joins that follow are exact.
+    A bit map spares most texts the hashing and all the shuffle; the joins that follow are exact.
     """
-    spark = docs.sparkSession
-    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    longs = (
-        wanted.select(
-            F.floor(place / 64).cast("long").alias("at"),
-            F.expr(f"shiftleft(1L, int(pmod(xxhash64(node), {FILTER_BITS}) % 64))").alias("bit"),
-        )
-        .groupBy("at")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    bitmap = np.zeros(FILTER_BITS // 64, np.int64)
-    bitmap[longs["at"].to_numpy()] = longs["bits"].to_numpy()
-    bits = spark.sparkContext.broadcast(bitmap.tobytes())
+    bits = shared.bit_filter(wanted, F.xxhash64("node"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little")
         for batch in batches:
-            use = np.flatnonzero(held[batch.column(2).to_numpy()])
+            use = np.flatnonzero(shared.may_hold(bits, batch.column(2).to_numpy()))
             for ids, sets, bounds in _sets([batch.take(pa.array(use))], words):
                 shingles = pa.ListArray.from_arrays(
                     pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64))
                 )
                 yield pa.RecordBatch.from_arrays([ids, shingles], ["node", "shingles"])
+        shared.trim()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
-    found = texts.filter("node is not null").withColumn("place", place)
+    found = texts.filter("node is not null").withColumn("hashed", F.xxhash64("node"))
     return found.mapInArrow(collect, "node long, shingles array<long>")
 
 
@@ -348,15 +334,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, words: int) -> D
     return links.unionByName(more)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
-
-    Documents with 100 * intersection >= percent * union of their sets are linked; a component is
-    named by its smallest doc_id, and that document is kept. A null, empty or wordless text is its
-    own component. Rows of one doc_id are one document: what any of them is linked to, all are. A
-    row without a doc_id belongs to the component of an equal text that has one, else to none
-    (null), and is kept in the latter case only. Other columns of ``docs`` are not looked at.
-    """
+def _components(docs: DataFrame, percent: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """``signatures`` of all rows, and the component of each distinct set that has a doc_id."""
     shared.ship(docs.sparkSession)
     signed = shared.stored(signatures(docs, words), "signatures")
     full = signed.filter("n_shingles > 0")
@@ -386,6 +365,20 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         .select(*key, F.coalesce("component", "node").alias("component_id")),
         "components",
     )
+    return signed, named
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text).
+
+    Documents with 100 * intersection >= percent * union of their sets are linked; a component is
+    named by its smallest doc_id, and that document is kept. A null, empty or wordless text is its
+    own component. Rows of one doc_id are one document: what any of them is linked to, all are. A
+    row without a doc_id belongs to the component of an equal text that has one, else to none
+    (null), and is kept in the latter case only. Other columns of ``docs`` are not looked at.
+    """
+    signed, named = _components(docs, percent, words)
+    key = ["set_a", "set_b", "n_shingles"]
     own = F.col("n_shingles") == 0
     joined = signed.select("doc_id", *key).join(named, key, "left")
     component = F.when(own, F.col("doc_id")).otherwise(F.col("component_id"))
@@ -397,18 +390,53 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     )
 
 
+def _whole_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row for each of ``ids``, which repeat in ``docs``: the smallest text, null last.
+
+    A minimum, so many rows of one doc_id never come together, and a retry chooses the same.
+    """
+    own = docs.select(shared.boxed(docs), F.col("doc_id").alias("id"))
+    own = own.join(ids.select(F.col("id").alias("again")), F.col("id") == F.col("again"), "left_semi")
+    order = F.struct(
+        F.col("doc.text").isNull(),
+        F.coalesce(F.col("doc.text").cast("string"), F.lit("")),
+        F.xxhash64(F.to_json("doc")),
+    )
+    first = own.groupBy("id").agg(F.min_by("doc", order).alias("doc"))
+    return first.select(*shared.unboxed(docs))
+
+
+def _rows_without_id(docs: DataFrame, named: DataFrame, words: int) -> DataFrame:
+    """The rows without doc_id whose texts no document with one has."""
+    rows = docs.filter("doc_id is null").select(shared.boxed(docs), F.col("text").cast("string").alias("own"))
+    texts = rows.select("own").distinct().withColumn("number", F.monotonically_increasing_id())
+    texts = shared.stored(texts, "texts")
+    signed = signatures(texts.select(F.col("number").alias("doc_id"), F.col("own").alias("text")), words)
+    copies = signed.filter("n_shingles > 0").join(named, ["set_a", "set_b", "n_shingles"], "left_semi")
+    gone = texts.join(copies.select(F.col("doc_id").alias("number")), "number", "left_semi")
+    gone = gone.select(F.col("own").alias("gone"))
+    stay = rows.join(gone, F.col("own").eqNullSafe(F.col("gone")), "left_anti")
+    return stay.select(*shared.unboxed(docs))
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """``docs`` without the documents that ``near_duplicates`` does not keep, all columns whole.
 
-    Of rows that repeat a doc_id, one stays.
+    Of rows that repeat a doc_id, the one of the smallest text stays. Rows without doc_id are
+    judged one by one: those stay whose text is not also that of a document with one.
     """
-    kept = near_duplicates(docs, percent, words).filter("kept").select("doc_id").distinct()
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    repeated = ids.filter("n > 1 and doc_id is not null").select("doc_id")
-    stay = docs
-    if not repeated.isEmpty():  # else texts need not move to look for repeated ids
-        once = docs.join(repeated, "doc_id", "left_anti")
-        again = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        stay = once.unionByName(again)
-    same = stay["doc_id"].eqNullSafe(kept["doc_id"])
-    return stay.join(kept, same, "left_semi").select(*docs.columns)
+    signed, named = _components(docs, percent, words)
+    key = ["set_a", "set_b", "n_shingles"]
+    judged = signed.filter("doc_id is not null").select("doc_id", *key).join(named, key, "left")
+    own = (F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))
+    kept = shared.stored(judged.filter(own).select(F.col("doc_id").alias("id")).distinct(), "kept")
+    ids = docs.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+    again = shared.stored(ids.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "again")
+    rows = docs.select(shared.boxed(docs), F.col("doc_id").cast("long").alias("own"))
+    once = kept.join(again, "id", "left_anti")
+    stay = rows.join(once, F.col("own") == F.col("id"), "left_semi").select(*shared.unboxed(docs))
+    if not again.isEmpty():
+        stay = stay.unionByName(_whole_rows(docs, kept.join(again, "id", "left_semi")))
+    if not docs.filter("doc_id is null").isEmpty():
+        stay = stay.unionByName(_rows_without_id(docs, named, words))
+    return stay

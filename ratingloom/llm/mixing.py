@@ -278,19 +278,16 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
         .filter("copies > 0")
     )
     size = _long(F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)))
-    left = docs.withColumn("__size", size)
-    return (
-        left.join(
-            takes.select(
-                F.col("doc_id").alias("__id"),
-                F.col("source").alias("__source"),
-                F.col("size").alias("__words"),
-                F.col("copies").alias("__copies"),
-            ),
-            left["doc_id"].eqNullSafe(F.col("__id"))
-            & left["source"].eqNullSafe(F.col("__source"))
-            & (F.col("__size") == F.col("__words")),
-        )
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-        .select(*docs.columns)
+    left = docs.select(
+        shared.boxed(docs),
+        F.col("doc_id").alias("own_id"),
+        F.col("source").alias("own_source"),
+        size.alias("own_size"),
+    )
+    same = (
+        F.col("own_id").eqNullSafe(F.col("doc_id"))
+        & F.col("own_source").eqNullSafe(F.col("source"))
+        & (F.col("own_size") == F.col("size"))
     )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return left.join(takes, same).select("doc", each.alias("copy")).select(*shared.unboxed(docs))

@@ -247,14 +247,12 @@ class WordTokens:
         return out
 
 
-_tokens: dict[str, WordTokens] = {}
-
-
 def word_tokens(path: str) -> WordTokens:
     """The tokenizer of a file, loaded once in a Python worker."""
-    if path not in _tokens:
-        _tokens[path] = WordTokens(path)
-    return _tokens[path]
+    held = shared.only("packing")
+    if path not in held:
+        held[path] = WordTokens(path)
+    return held[path]
 
 
 class _Packer:
@@ -322,6 +320,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
                 texts = [raw[a:b] for a, b in zip(at, at[1:])]
                 yield packer.add(ids[low:high], tokens.encode(texts), end)
         yield packer.finish()
+        shared.trim()
 
     return along_curve(docs).drop("place").mapInArrow(
         stream, ", ".join(f"{name} long" for name in _PIECE)

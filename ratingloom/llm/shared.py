@@ -1,5 +1,7 @@
 """Where intermediate tables live, and how many partitions to ask for."""
 
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -90,3 +92,34 @@ def may_hold(bits, hashed: np.ndarray) -> np.ndarray:
     held = np.frombuffer(bits.value, np.uint8)
     place = hashed & (8 * len(held) - 1)
     return (held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+_kept: dict[str, dict] = {}
+
+
+def only(owner: str) -> dict:
+    """What a Python worker keeps between tasks for ``owner``; what it kept for others goes.
+
+    Workers serve one stage after another, so else each would hold the tables of all of them.
+    """
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = {}
+    return _kept[owner]
+
+
+def trim() -> None:
+    """At the end of a task, give freed memory back: an idle worker should not hold on to it."""
+    gc.collect()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if release is not None:
+        release(0)
+
+
+def boxed(docs: DataFrame, name: str = "doc") -> Column:
+    """All columns of ``docs`` in one, out of the way of an operator's own names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name)
+
+
+def unboxed(docs: DataFrame, name: str = "doc") -> list[Column]:
+    return [F.col(name)[c].alias(c) for c in docs.columns]

@@ -31,7 +31,10 @@ ODD = [
 def docs_frame(spark, rows):
     """Documents with more columns, named like those that operators make for themselves."""
     frame = spark.createDataFrame(rows, DOCS)
-    names = "node component_id kept size taken line row chunk score key place bucket label".split()
+    names = (
+        "node component_id kept size taken line row chunk score key place bucket label doc id lines "
+        "drop copies copy own own_id own_size again gone hashed number rejected range __id __lines"
+    ).split()
     return frame.withColumns({n: F.lit("clash") for n in names})
 
 

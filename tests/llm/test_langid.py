@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("piece_bpe_32k.model")
 def _all_ways(pieces, p, word):
     total = [1.0] + [0.0] * len(word)
     for end in range(1, len(word) + 1):
-        for begin in range(max(0, end - langid.MAX_PIECE), end):
+        for begin in range(end):
             total[end] += total[begin] * p.get(word[begin:end], 0.0)
     return math.log(total[-1])
 
@@ -25,6 +25,10 @@ def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(0)
     table = np.vstack((rng.random((len(vocab), 2)) / len(vocab), np.zeros(2)))
     words = [b"the", "größe".encode(), b"x", b"thenonndtion" * 9, b"!?"]
+    # Pieces of all lengths count: words that are, or hold, the longest ones.
+    long = sorted((w for w in vocab if w[:1] == b" "), key=len)[-40:]
+    assert pieces.longest > 20 and len(long[0]) > 12
+    words += [w[1:] for w in long] + [w[1:] + w[1:] + b"s" for w in long[:10]] + [long[-1][1:] * 6]
     got = langid.word_scores(pieces, table, words)
     for k in range(2):
         p = dict(zip(vocab, table[:, k]))

@@ -1,3 +1,7 @@
+import glob
+
+import pyarrow.parquet as pq
+
 from ratingloom.llm import line_dedup, shared
 
 from .conftest import by_id, docs_frame
@@ -28,14 +32,51 @@ def test_four_documents_are_too_few_and_rows_of_one_id_are_one(spark):
     assert got[1][0].kept_text == ""
 
 
+def _batch(spark, b):
+    rows = [(b * 3 + i, f"{LINE} {i % 2}\n{LINE} only {b}", "en", "a", 0) for i in range(3)]
+    return line_dedup.line_hashes(docs_frame(spark, rows))
+
+
+def _content(runs):
+    return sorted((bytes(r.line), r.n_docs, r.keeper) for r in runs.totals().collect())
+
+
 def test_runs_are_compacted_and_add_up(spark):
-    runs = line_dedup.LineRuns(spark)
+    runs = line_dedup.LineRuns(spark, shared.new_path(spark, "test-runs"))
     for b in range(10):
-        rows = [(b * 3 + i, f"{LINE} {i % 2}", "en", "a", 0) for i in range(3)]
-        runs.add(line_dedup.line_hashes(docs_frame(spark, rows)))
+        runs.add(_batch(spark, b))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    found = sorted((r.keeper) for r in runs.frequent(5).collect())
-    assert found == [28, 29]
+    assert sorted(r.keeper for r in runs.frequent(5).collect()) == [28, 29]
+    assert sorted((n, keeper) for _, n, keeper in _content(runs))[-2:] == [(10, 28), (20, 29)]
+
+
+def test_later_session_goes_on_from_the_folder(spark):
+    """Two sessions on one folder give what one session gives."""
+    one = line_dedup.LineRuns(spark, shared.new_path(spark, "test-runs"))
+    first = line_dedup.LineRuns(spark, shared.new_path(spark, "test-runs"))
+    for b in range(5):
+        one.add(_batch(spark, b))
+        first.add(_batch(spark, b))
+    later = spark.newSession()
+    second = line_dedup.LineRuns.open(later, first.folder)
+    assert (second.levels, second.version) == (first.levels, first.version)
+    for b in range(5, 8):
+        one.add(_batch(spark, b))
+        second.add(_batch(later, b))
+    assert _content(second) == _content(one)
+    assert [len(level) for level in second.levels] == [len(level) for level in one.levels]
+
+
+def test_a_batch_joins_the_runs(spark):
+    """A run holds totals: new lines with their own counts, known ones with all so far."""
+    runs = line_dedup.LineRuns(spark, shared.new_path(spark, "test-runs"))
+    runs.add(_batch(spark, 0))
+    runs.add(_batch(spark, 1))
+    newest = spark.read.parquet(f"{runs.folder}/{runs.levels[0][1]}")
+    assert sorted((r.n_docs, r.keeper) for r in newest.collect()) == [(2, 4), (3, 5), (4, 5)]
+    files = sorted(glob.glob(f"{runs.folder}/{runs.levels[0][1]}/part-*.parquet"))
+    lines = [line for f in files for line in pq.read_table(f)["line"].to_pylist()]
+    assert len(lines) == 3 and lines == sorted(lines)
 
 
 def test_batches_do_not_matter(small):

@@ -42,3 +42,35 @@ def test_empty_and_odd(spark, odd, none):
             docs = shared.stored(stage(spark, docs, ""), f"odd-{name}")
         assert docs.isEmpty() == (frame is none)
     assert public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_columns_of_any_name_pass_through(spark, odd):
+    """Whatever a stage names its own columns, those of the documents come out as they went in."""
+    added = [c for c in odd.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    assert len(added) >= 30
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns and out.dtypes == odd.dtypes
+        assert all(r[c] == "clash" for r in out.collect() for c in added), name
+
+
+def _near(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    kept = pipeline.drop_near_duplicates(spark, docs, "").collect()
+    return sorted(((r.doc_id, r.text, r.n) for r in kept), key=str)
+
+
+def test_rows_without_id_are_judged_one_by_one(spark):
+    one, two = "the first of all texts here is this", "another text that nobody else has got"
+    rows = [(1, one, 0), (None, one, 1), (None, two, 2), (None, two, 3), (None, None, 4), (2, "", 5)]
+    want = [(1, one, 0), (None, two, 2), (None, two, 3), (None, None, 4), (2, "", 5)]
+    assert _near(spark, rows) == sorted(want, key=str)
+
+
+def test_of_repeated_ids_the_smallest_text_stays(spark):
+    a, b = "a text of some words that come first", "b text of quite other words that come later"
+    rows = [(1, b, 0), (1, a, 1), (1, None, 2), (2, b + " and end", 3), (3, a, 4), (4, "x", 5), (4, "x", 5)]
+    want = [(1, a, 1), (2, b + " and end", 3), (4, "x", 5)]
+    for _ in range(2):
+        got = _near(spark, rows)
+        assert [r for r in got if r[0] != 2] == [r for r in want if r[0] != 2]
