@@ -31,10 +31,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = langid.identify(docs, pieces)
     rejected = found.filter(
         (F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < LANGUAGE_SCORE)
-    ).select(F.col("doc_id").alias("__rejected"))
+    ).select(F.col("doc_id").alias("rejected"))
     rejected = shared.stored(rejected.distinct(), "rejected")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__rejected"))
-    return docs.join(rejected, same, "left_anti")
+    rows = docs.select(shared.boxed(docs), F.col("doc_id").cast("long").alias("own"))
+    same = F.col("own").eqNullSafe(F.col("rejected"))
+    return rows.join(rejected, same, "left_anti").select(*shared.unboxed(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
