@@ -27,7 +27,7 @@ END_ID = 2
 DIMS = 4
 DIM_BITS = 10
 #: Words met lately whose ids a Python worker keeps, and at most as many older ones.
-_KEPT = 200_000
+_KEPT = 150_000
 _TOGETHER = 1000
 _SEQUENCES_PER_PARTITION = 1 << 32
 #: Documents drawn to cut the curve into ranges: for each range, and in all.
@@ -175,10 +175,9 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        self.plain = Tokenizer.from_file(path)
-        self.added = [t.content.encode() for t in self.plain.get_added_tokens_decoder().values()]
-        # Lower-cased words that only look like an added token are words.
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Lower-cased words that only look like an added token are words.
         self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
@@ -241,9 +240,11 @@ class WordTokens:
         self.learn(set().union(*split))
         known = self.known
         out = [b"".join([known[w] for w in words]) for words in split]
-        for i in whole:
-            ids = self.plain.encode(texts[i].decode(), add_special_tokens=False).ids
-            out[i] = np.array(ids, "<u4").tobytes()
+        if whole:
+            self.tokenizer.encode_special_tokens = False
+            for i in whole:
+                out[i] = self._single([texts[i].decode()])[0]
+            self.tokenizer.encode_special_tokens = True
         return out
 
 

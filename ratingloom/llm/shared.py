@@ -103,7 +103,9 @@ def only(owner: str) -> dict:
     Workers serve one stage after another, so else each would hold the tables of all of them.
     """
     if owner not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            trim()
         _kept[owner] = {}
     return _kept[owner]
 
