@@ -1,23 +1,28 @@
-"""Near-duplicate vectors by exact comparison inside cells of a label.
-
-Every two vectors of one label and dimension that can reach the cosine are compared. A label of
-more than a block has pivots, drawn from its vectors by a hash, and a vector's cell is that of the
-pivot with the largest product. Vectors x of cell i and y of cell j at a distance of at most t both
-have products with the two pivots that differ by at most t times the distance of the pivots, so
-only those near the border of two cells are compared across it; nothing else is left out. Cells
-are dealt to blocks of bounded size, and pairs of blocks are compared by matrix products. A label
-so dense that all its vectors lie near all borders is compared whole, in time that grows with the
-square of its size.
-
-Equal vectors are one node from the start. A pair of blocks reports a count per vector and the
-links that connect, not every pair. So a block of n near copies makes rows in proportion to n.
+"""Near-duplicate vectors by sorted projection passes, completed by cells where they overlook pairs.
+
+A pass orders the vectors of each label and dimension lexicographically by a key of concatenated
+random hashes: the sides of ``BITS`` random planes through a centre of the label. The order is cut
+into windows of ``window_rows`` vectors, and each window is compared with itself and with the one
+before it, by matrix products. Every vector carries its windows in all passes, so a pair that
+several passes bring together is counted in the first of them only. A label that fits a window
+has one pass, which compares it whole.
+
+Passes can overlook pairs of a crowded label, so what they leave is looked up in cells. A vector's
+cell is that of the pivot, drawn from the label by a hash, with the largest product. Vectors x of
+cell i and y of cell j at a distance of at most t both have products with the two pivots that
+differ by at most t times the distance of the pivots, so only those near the border of two cells
+can be linked across it; nothing else is left out. Cells are dealt to blocks of bounded size, and
+pairs of blocks are compared but for the pairs that shared a window. A label so dense that all its
+vectors lie near all borders is compared whole, in time that grows with the square of its size.
+
+Pivots and sizes stay in tables; a task sees those of one label. Equal vectors are one node from
+the start. A comparison reports a count per vector and the links that connect, not every pair. So
+a block of n near copies makes rows in proportion to n.
 """
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm import shared
@@ -25,8 +30,12 @@ from ratingloom.llm.graph import components
 
 BLOCK = 4096
 MAX_PIVOTS = 1024
+PASSES = 4
+BITS = 62
 _FLOATS = 1 << 20
 _TILE = 1024
+#: Cells are numbered above, the blocks of a cell in the lower bits.
+_BLOCK_BITS = 24
 
 
 def _usable(vector: Column) -> Column:
@@ -44,125 +53,206 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def _block_rows(dim: int) -> int:
+def _block_rows(dim: Column) -> Column:
     """Vectors of a block, so that it has a bounded size."""
-    return max(1, min(BLOCK, _FLOATS // dim))
-
-
-def _pivots(nodes: DataFrame) -> dict[tuple[int, int], np.ndarray]:
-    """Pivots of each label and dimension that fills more than a block."""
-    spark = nodes.sparkSession
-    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(_FLOATS) / F.col("dim"))))
-    large = [
-        (r.label, r.dim, min(MAX_PIVOTS, -(-r.n // _block_rows(r.dim))) / r.n)
-        for r in sizes.filter(F.col("n") > block).collect()
-    ]
-    if not large:
-        return {}
-    rates = F.broadcast(spark.createDataFrame(large, "label long, dim int, rate double"))
-    share = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = nodes.join(rates, ["label", "dim"]).filter(share < F.col("rate"))
-    found: dict[tuple[int, int], list] = {}
-    for r in drawn.select("label", "dim", "node", "vector").orderBy("node").toLocalIterator():
-        found.setdefault((r.label, r.dim), []).append(r.vector)
-    return {
-        key: _matrix(pa.array(rows, pa.list_(pa.float32())), key[1]) for key, rows in found.items()
-    }
-
-
-def _by_label(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
-    """Positions of the rows of each label and dimension."""
-    keys = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in ("label", "dim")], 1)
-    distinct, inverse = np.unique(keys, axis=0, return_inverse=True)
-    order = np.argsort(inverse.ravel(), kind="stable")
-    cuts = np.cumsum(np.bincount(inverse.ravel(), minlength=len(distinct)))[:-1]
-    for key, at in zip(distinct.tolist(), np.split(order, cuts)):
-        yield tuple(key), at
-
-
-def _cell_sizes(nodes: DataFrame, pivots) -> dict[tuple[int, int], np.ndarray]:
-    """Vectors in each cell of the labels that have pivots."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes: dict = {}
-        for batch in batches:
-            for key, at in _by_label(batch):
-                if (p := pivots.value.get(key)) is not None:
-                    for k in range(0, len(at), _TILE):
-                        part = batch.column("vector").take(pa.array(at[k : k + _TILE]))
-                        cell = (_matrix(part, key[1]) @ p.T).argmax(1)
-                        sizes[key] = sizes.get(key, 0) + np.bincount(cell, minlength=len(p))
-        rows = [(*k, c, n) for k, each in sizes.items() for c, n in enumerate(each.tolist()) if n]
-        ends = list(zip(*rows)) or [()] * 4
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(e, t) for e, t in zip(ends, kinds)], ["label", "dim", "cell", "n"]
-        )
+    return F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(_FLOATS) / dim))).cast("long")
+
+
+def window_rows(dim: Column) -> Column:
+    """Vectors of a window; two are compared at a time."""
+    return F.greatest(F.lit(1), F.floor(_block_rows(dim) / 4)).cast("long")
+
 
-    found = {key: np.zeros(len(p), np.int64) for key, p in pivots.value.items()}
-    counted = nodes.select("label", "dim", "vector").mapInArrow(
-        count, "label long, dim int, cell int, n long"
+def _pivots(large: DataFrame) -> DataFrame:
+    """Pivots of each label and dimension, numbered as cells; at most ``MAX_PIVOTS`` of each.
+
+    Four times as many are drawn by a hash and those of the smallest hashes stay. A label from
+    which none is drawn, which has few blocks then, is one cell.
+    """
+    wanted = F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("n") / _block_rows(F.col("dim"))))
+    share = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 30))
+    drawn = (
+        large.withColumn("wanted", wanted)
+        .withColumn("share", share)
+        .filter(F.col("share") * F.col("n") < 4 * F.col("wanted") * F.lit(float(1 << 30)))
+    )
+    by_share = Window.partitionBy("label", "dim").orderBy("share", "node")
+    return (
+        drawn.withColumn("cell", (F.row_number().over(by_share) - 1).cast("int"))
+        .filter(F.col("cell") < F.col("wanted"))
+        .select("label", "dim", "slices", "cell", F.col("vector").alias("pivot"))
     )
-    for r in counted.groupBy("label", "dim", "cell").agg(F.sum("n").alias("n")).collect():
-        found[r.label, r.dim][r.cell] = r.n
-    return found
 
 
-_DEALT = "label long, dim int, i int, j int, own int, node long, copies long, vector array<float>"
+_ASSIGNED = (
+    "label long, dim int, n long, node long, copies long, vector array<float>, "
+    "keys array<long>, cell int, near array<int>"
+)
 
 
-def _deal(nodes: DataFrame, cosine: float) -> DataFrame:
-    """Vectors under every pair of blocks ``i <= j`` in which they are compared."""
-    context = nodes.sparkSession.sparkContext
-    pivots = context.broadcast(_pivots(nodes))
-    blocks = {}
-    for key, sizes in (_cell_sizes(nodes, pivots) if pivots.value else {}).items():
-        each = np.maximum(1, -(-sizes // _block_rows(key[1])))
-        blocks[key] = (np.cumsum(each) - each, each)
-    blocks = context.broadcast(blocks)
+def _assign(cosine: float):
+    """Of a slice of a label: the keys of its vectors in all passes, their cells, and the cells
+    near whose border they lie."""
     # Rounding of the products must not part what belongs together.
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+    passes, bits = PASSES, BITS
+
+    def assign(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+        names = ["label", "dim", "n", "node", "copies", "vector"]
+        if not rows.num_rows:
+            empty = pa.schema(
+                [rows.schema.field(c) for c in names]
+                + [("keys", pa.list_(pa.int64())), ("cell", pa.int32()), ("near", pa.list_(pa.int32()))]
+            )
+            return empty.empty_table()
+        dim = rows["dim"][0].as_py()
+        p = np.zeros((1, dim))
+        if pivots.num_rows:
+            order = np.argsort(pivots["cell"].to_numpy())
+            p = _matrix(pivots["pivot"].take(pa.array(order)).combine_chunks(), dim)
+        planes = np.random.Generator(np.random.PCG64([7, dim])).standard_normal((dim, passes * bits))
+        weights = np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64)
+        centre = p.mean(0)
+        vectors = rows["vector"].combine_chunks()
+        keys, homes, near, counts = [], [], [], []
+        for low in range(0, rows.num_rows, 256):
+            unit = _matrix(vectors.slice(low, 256), dim)
+            side = ((unit - centre) @ planes > 0).reshape(len(unit), passes, bits)
+            keys.append((side * weights).sum(2))
+            product = unit @ p.T
+            home = product.argmax(1)
+            gap = product[np.arange(len(unit)), home][:, None] - product
+            apart = np.sqrt(np.maximum(0, 2 - 2 * (p[home] @ p.T)))
+            row, cell = np.nonzero(gap <= reach * apart + 1e-6)
+            homes.append(home)
+            near.append(cell)
+            counts.append(np.bincount(row, minlength=len(unit)))
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+        return rows.select(names).combine_chunks().append_column(
+            "keys",
+            pa.ListArray.from_arrays(
+                pa.array(np.arange(rows.num_rows + 1) * passes, pa.int32()),
+                pa.array(np.concatenate(keys).ravel(), pa.int64()),
+            ),
+        ).append_column("cell", pa.array(np.concatenate(homes), pa.int32())).append_column(
+            "near",
+            pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(np.concatenate(near), pa.int32())
+            ),
+        )
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, all_at in _by_label(batch):
-                p = pivots.value.get(key)
-                step = len(all_at) if p is None else 256
-                for k in range(0, len(all_at), step):
-                    at = all_at[k : k + step]
-                    if p is None:
-                        x, own, other = np.arange(len(at)), *np.zeros((2, len(at)), np.int64)
-                    else:
-                        first, each = blocks.value[key]
-                        unit = _matrix(batch.column("vector").take(pa.array(at)), key[1])
-                        product = unit @ p.T
-                        home = product.argmax(1)
-                        gap = product[np.arange(len(at)), home][:, None] - product
-                        apart = np.sqrt(np.maximum(0, 2 - 2 * (p[home] @ p.T)))
-                        row, cell = np.nonzero(gap <= reach * apart + 1e-6)
-                        n = each[cell]
-                        x = np.repeat(row, n)
-                        begin = np.cumsum(n) - n
-                        other = np.repeat(first[cell] - begin, n) + np.arange(len(x))
-                        hashed = batch.column("deal").to_numpy()[at]
-                        own = (first[home] + hashed % each[home])[x]
-                    for low in range(0, len(x), 1 << 14):
-                        of = slice(low, low + (1 << 14))
-                        rows = batch.select(["node", "copies", "vector"]).take(pa.array(at[x[of]]))
-                        i, j = np.minimum(own[of], other[of]), np.maximum(own[of], other[of])
-                        short = (np.full(len(i), key[1]), i, j, own[of])
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(i), key[0], np.int64)),
-                                *(pa.array(v.astype(np.int32)) for v in short),
-                                *rows.columns,
-                            ],
-                            [c.split()[0] for c in _DEALT.split(", ")],
-                        )
-
-    spread = F.pmod(F.xxhash64("node"), F.lit(1 << 30)).alias("deal")
-    return nodes.select("label", "dim", "node", "copies", "vector", spread).mapInArrow(deal, _DEALT)
+    return assign
+
+
+def _assigned(nodes: DataFrame, cosine: float) -> DataFrame:
+    """Every node with its keys in the passes of its label; cells where those are several."""
+    sizes = shared.stored(
+        nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")), "label-sizes"
+    )
+    sized = nodes.drop("first").join(sizes, ["label", "dim"])
+    crowded = F.col("n") > window_rows(F.col("dim"))
+    slices = F.ceil(F.col("n") / (4 * _block_rows(F.col("dim"))))
+    large = sized.filter(crowded).withColumn("slices", slices)
+    spread = large.withColumn("slice", F.pmod(F.xxhash64("node", F.lit("slice")), F.col("slices")))
+    copied = shared.stored(_pivots(large), "pivots").select(
+        "label", "dim", "cell", "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice")
+    )
+    by = ["label", "dim", "slice"]
+    kept = ["label", "dim", "n", "node", "copies", "vector"]
+    placed = (
+        spread.select("slice", *kept)
+        .groupBy(*by)
+        .cogroup(copied.groupBy(*by))
+        .applyInArrow(_assign(cosine), _ASSIGNED)
+    )
+    small = sized.filter(~crowded).select(
+        *kept,
+        F.array(F.lit(0).cast("long")).alias("keys"),
+        F.lit(0).alias("cell"),
+        F.array().cast("array<int>").alias("near"),
+    )
+    return shared.stored(placed.unionByName(small), "assigned")
+
+
+def _windows(assigned: DataFrame) -> DataFrame:
+    """``node, seen``: the window of each node in every pass of its label, in order.
+
+    Rows of all passes are range-partitioned and sorted; a row's place is that in its partition
+    plus the sizes of earlier ones. Only one count per partition comes together.
+    """
+    spark = assigned.sparkSession
+    order = ["label", "dim", "pass", "key", "node"]
+    keyed = assigned.select("label", "dim", "node", F.posexplode("keys").alias("pass", "key"))
+    placed = shared.stored(
+        keyed.repartitionByRange(shared.partitions(spark), *order)
+        .sortWithinPartitions(*order)
+        .select("node", "dim", "pass", F.monotonically_increasing_id().alias("place")),
+        "order",
+    )
+    part = F.shiftright("place", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    place = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    window = F.floor(place / window_rows(F.col("dim"))).cast("long")
+    # One row per shuffle partition: the setting bounds what is broadcast.
+    ranked = placed.join(F.broadcast(shared.stored(starts, "starts")), part == F.col("part"))
+    return (
+        ranked.select("node", F.struct("pass", window.alias("window")).alias("at"))
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list("at")).alias("at"))
+        .select("node", F.col("at.window").alias("seen"))
+    )
+
+
+def _deal(nodes: DataFrame, cosine: float) -> DataFrame:
+    """Vectors under every window, and every pair of blocks ``i <= j``, that is compared.
+
+    In a window, ``side`` tells its own vectors (1) from those of the window before (0); in a pair
+    of blocks, those of j from those of i. ``step`` is the pass; blocks come after all passes.
+    """
+    assigned = _assigned(nodes, cosine)
+    placed = shared.stored(assigned.join(_windows(assigned), "node"), "placed")
+    row = ["label", "dim", "node", "copies", "vector", "seen"]
+    windows = placed.select(*row, F.posexplode("seen").alias("step", "at")).select(
+        *row,
+        "step",
+        F.explode(
+            F.array(
+                F.struct(F.col("at").alias("i"), F.lit(1).alias("side")),
+                F.struct((F.col("at") + 1).alias("i"), F.lit(0).alias("side")),
+            )
+        ).alias("to"),
+    ).select(*row, "step", "to.i", F.col("to.i").alias("j"), "to.side")
+
+    celled = placed.filter(F.size("near") > 0)
+    blocks = shared.stored(
+        celled.groupBy("label", "dim", "cell")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("label", "dim", "cell", F.ceil(F.col("n") / _block_rows(F.col("dim"))).alias("blocks")),
+        "blocks",
+    )
+    wide = F.lit(1 << _BLOCK_BITS)
+    own = F.col("cell") * wide + F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    other = F.col("to_cell") * wide + F.col("to_block")
+    other_blocks = blocks.select(
+        "label", "dim", F.col("cell").alias("to_cell"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("to_block"),
+    )
+    cells = (
+        celled.join(blocks, ["label", "dim", "cell"])
+        .select(*row, own.alias("own"), F.explode("near").alias("to_cell"))
+        .join(other_blocks, ["label", "dim", "to_cell"])
+        .withColumn("other", other)
+        .select(
+            *row,
+            F.size("seen").alias("step"),
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            F.when(F.col("own") >= F.col("other"), F.lit(1)).otherwise(F.lit(0)).alias("side"),
+        )
+    )
+    return windows.unionByName(cells)
 
 
 def _near(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
@@ -178,31 +268,41 @@ def _near(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
 
 
 def _compare(cosine: float):
-    """Of two blocks, or one and itself: link counts (b null) and links that connect (n null)."""
+    """Of a window or a pair of blocks: link counts (b null) and links that connect (n null).
+
+    Pairs that shared a window of an earlier pass were compared there.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
-        i, j, dim = (table[n][0].as_py() for n in ("i", "j", "dim"))
-        own, node = table["own"].to_numpy(), table["node"].to_numpy()
+        i, j, dim, step = (table[n][0].as_py() for n in ("i", "j", "dim", "step"))
+        side, node = table["side"].to_numpy(), table["node"].to_numpy()
         copies = table["copies"].to_numpy()
+        seen = table["seen"].combine_chunks().flatten().to_numpy().reshape(len(side), -1)
         unit = _matrix(table["vector"].combine_chunks(), dim)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        n = np.zeros(len(own), np.int64)
-        group, links = np.arange(len(own)), []
-        for low in range(0, len(left), _TILE):
-            rows = left[low : low + _TILE]
-            near = _near(unit[rows], unit[right], cosine)
-            if i == j:
+        own, before = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        inner = i == j
+        others = np.concatenate((own, before)) if inner else before
+        n = np.zeros(len(side), np.int64)
+        group, links = np.arange(len(side)), []
+        for low in range(0, len(own) if len(others) else 0, _TILE):
+            rows = own[low : low + _TILE]
+            near = _near(unit[rows], unit[others], cosine)
+            if inner:
                 near[np.arange(len(rows)), low + np.arange(len(rows))] = False
-            else:
-                n[right] += near.T @ copies[rows]
-            n[rows] += near @ copies[right]
+            if not near.any():
+                continue
+            for q in range(step):
+                near &= np.abs(seen[rows, q][:, None] - seen[others, q]) > 1
+            n[rows] += near @ copies[others]
+            if len(before):
+                n[before] += near[:, -len(before) :].T @ copies[rows]
             for r in np.flatnonzero(near.any(1)):
-                x, y = rows[r], right[near[r]]
+                x, y = rows[r], others[near[r]]
                 new, at = np.unique(group[y], return_index=True)
                 at = at[new != group[x]]
                 if len(at):
                     links += [(int(node[x]), int(node[b])) for b in y[at]]
-                    lead = np.arange(len(own))
+                    lead = np.arange(len(side))
                     lead[new] = group[x]
                     group = lead[group]
         some = np.flatnonzero(n)
@@ -212,6 +312,7 @@ def _compare(cosine: float):
                 "a": pa.array([*node[some].tolist(), *a], pa.int64()),
                 "b": pa.array([None] * len(some) + list(b), pa.int64()),
                 "n": pa.array([*n[some].tolist(), *([None] * len(links))], pa.int64()),
+                "step": pa.array([step] * (len(some) + len(links)), pa.int32()),
             }
         )
 
@@ -250,8 +351,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     )
     compared = shared.stored(
         _deal(nodes, cosine)
-        .groupBy("label", "dim", "i", "j")
-        .applyInArrow(_compare(cosine), "a long, b long, n long"),
+        .groupBy("label", "dim", "step", "i", "j")
+        .applyInArrow(_compare(cosine), "a long, b long, n long, step int"),
         "compared",
     )
     labels = components(compared.filter("b is not null").select("a", "b"))

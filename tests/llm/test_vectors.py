@@ -99,3 +99,27 @@ def test_cells_and_blocks_lose_nothing(spark, monkeypatch):
     copies = centre + 0.1 * rng.standard_normal((200, 64))
     v = np.concatenate((_planted(150, 0.0), _planted(150, 0.9, 7), copies)).astype(np.float32)
     assert _result(spark, v) == _exact(v)
+
+
+def test_links_come_from_the_passes(spark, monkeypatch):
+    """In a crowded label the passes find most links; cells add those that are left."""
+    monkeypatch.setattr(vectors, "BLOCK", 400)
+    kept, stored = {}, vectors.shared.stored
+    monkeypatch.setattr(
+        vectors.shared, "stored", lambda df, name, *a: kept.setdefault(name, stored(df, name, *a))
+    )
+    v = _planted(1500, 0.9)
+    want = _exact(v)
+    assert _result(spark, v) == want
+    found = kept["compared"].filter("b is null").groupBy("step").sum("n").collect()
+    by_step = {r[0]: r[1] for r in found}
+    total = sum(n for n, *_ in want.values())
+    assert sum(by_step.values()) == total
+    assert sum(n for step, n in by_step.items() if step < vectors.PASSES) > 0.6 * total
+
+
+def test_labels_that_fit_a_window_have_one_pass(spark):
+    rows = [(i, [float(i % 5), 1.0], i % 3) for i in range(60)]
+    frame = _frame(spark, rows)
+    got = {r.vec_id: tuple(r)[1:] for r in vectors.near_vectors(frame).collect()}
+    assert got == _brute(rows)
