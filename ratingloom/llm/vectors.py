@@ -3,7 +3,7 @@
 A pass orders the vectors of each label and dimension lexicographically by a key of concatenated
 random hashes: the sides of ``BITS`` random planes through a centre of the label. The order is cut
 into windows of ``window_rows`` vectors, and each window is compared with itself and with the one
-before it, by matrix products. Every vector carries its windows in all passes, so a pair that
+before it, by matrix products. A task takes ``RUN`` windows and the one before them. Every vector carries its windows in all passes, so a pair that
 several passes bring together is counted in the first of them only. A label that fits a window
 has one pass, which compares it whole.
 
@@ -32,6 +32,7 @@ BLOCK = 4096
 MAX_PIVOTS = 1024
 PASSES = 4
 BITS = 62
+RUN = 4
 _FLOATS = 1 << 20
 _TILE = 1024
 #: Cells are numbered above, the blocks of a cell in the lower bits.
@@ -59,8 +60,8 @@ def _block_rows(dim: Column) -> Column:
 
 
 def window_rows(dim: Column) -> Column:
-    """Vectors of a window; two are compared at a time."""
-    return F.greatest(F.lit(1), F.floor(_block_rows(dim) / 4)).cast("long")
+    """Vectors of a window, so that ``RUN`` of them are about a block."""
+    return F.greatest(F.lit(1), F.floor(_block_rows(dim) / RUN)).cast("long")
 
 
 def _pivots(large: DataFrame) -> DataFrame:
@@ -206,24 +207,29 @@ def _windows(assigned: DataFrame) -> DataFrame:
 
 
 def _deal(nodes: DataFrame, cosine: float) -> DataFrame:
-    """Vectors under every window, and every pair of blocks ``i <= j``, that is compared.
+    """Vectors under every run of windows, and every pair of blocks ``i <= j``, that is compared.
 
-    In a window, ``side`` tells its own vectors (1) from those of the window before (0); in a pair
+    In a run, ``side`` tells its own vectors (1) from those of the window before it (0); in a pair
     of blocks, those of j from those of i. ``step`` is the pass; blocks come after all passes.
     """
     assigned = _assigned(nodes, cosine)
     placed = shared.stored(assigned.join(_windows(assigned), "node"), "placed")
     row = ["label", "dim", "node", "copies", "vector", "seen"]
+    run = F.floor(F.col("at") / RUN).cast("long")
+    last = F.col("at") % RUN == RUN - 1
     windows = placed.select(*row, F.posexplode("seen").alias("step", "at")).select(
         *row,
         "step",
         F.explode(
-            F.array(
-                F.struct(F.col("at").alias("i"), F.lit(1).alias("side")),
-                F.struct((F.col("at") + 1).alias("i"), F.lit(0).alias("side")),
+            F.array_compact(
+                F.array(
+                    F.struct(run.alias("i"), F.lit(1).alias("side")),
+                    F.when(last, F.struct((run + 1).alias("i"), F.lit(0).alias("side"))),
+                )
             )
         ).alias("to"),
-    ).select(*row, "step", "to.i", F.col("to.i").alias("j"), "to.side")
+    )
+    windows = windows.select(*row, "step", "to.i", F.col("to.i").alias("j"), "to.side")
 
     celled = placed.filter(F.size("near") > 0)
     blocks = shared.stored(
@@ -268,7 +274,7 @@ def _near(left: np.ndarray, right: np.ndarray, cosine: float) -> np.ndarray:
 
 
 def _compare(cosine: float):
-    """Of a window or a pair of blocks: link counts (b null) and links that connect (n null).
+    """Of a run of windows or a pair of blocks: link counts (b null) and links that connect (n null).
 
     Pairs that shared a window of an earlier pass were compared there.
     """
@@ -280,31 +286,38 @@ def _compare(cosine: float):
         seen = table["seen"].combine_chunks().flatten().to_numpy().reshape(len(side), -1)
         unit = _matrix(table["vector"].combine_chunks(), dim)
         own, before = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-        inner = i == j
-        others = np.concatenate((own, before)) if inner else before
+        if step < seen.shape[1]:
+            at = seen[:, step]
+            parts = [
+                (own[at[own] == w], np.flatnonzero(at == w - 1), True) for w in np.unique(at[own])
+            ]
+        else:
+            parts = [(own, before, i == j)]
         n = np.zeros(len(side), np.int64)
         group, links = np.arange(len(side)), []
-        for low in range(0, len(own) if len(others) else 0, _TILE):
-            rows = own[low : low + _TILE]
-            near = _near(unit[rows], unit[others], cosine)
-            if inner:
-                near[np.arange(len(rows)), low + np.arange(len(rows))] = False
-            if not near.any():
-                continue
-            for q in range(step):
-                near &= np.abs(seen[rows, q][:, None] - seen[others, q]) > 1
-            n[rows] += near @ copies[others]
-            if len(before):
-                n[before] += near[:, -len(before) :].T @ copies[rows]
-            for r in np.flatnonzero(near.any(1)):
-                x, y = rows[r], others[near[r]]
-                new, at = np.unique(group[y], return_index=True)
-                at = at[new != group[x]]
-                if len(at):
-                    links += [(int(node[x]), int(node[b])) for b in y[at]]
-                    lead = np.arange(len(side))
-                    lead[new] = group[x]
-                    group = lead[group]
+        for own, before, inner in parts:
+            others = np.concatenate((own, before)) if inner else before
+            for low in range(0, len(own) if len(others) else 0, _TILE):
+                rows = own[low : low + _TILE]
+                near = _near(unit[rows], unit[others], cosine)
+                if inner:
+                    near[np.arange(len(rows)), low + np.arange(len(rows))] = False
+                if not near.any():
+                    continue
+                for q in range(step):
+                    near &= np.abs(seen[rows, q][:, None] - seen[others, q]) > 1
+                n[rows] += near @ copies[others]
+                if len(before):
+                    n[before] += near[:, -len(before) :].T @ copies[rows]
+                for r in np.flatnonzero(near.any(1)):
+                    x, y = rows[r], others[near[r]]
+                    new, at = np.unique(group[y], return_index=True)
+                    at = at[new != group[x]]
+                    if len(at):
+                        links += [(int(node[x]), int(node[b])) for b in y[at]]
+                        lead = np.arange(len(side))
+                        lead[new] = group[x]
+                        group = lead[group]
         some = np.flatnonzero(n)
         a, b = zip(*links) if links else ((), ())
         return pa.table(
