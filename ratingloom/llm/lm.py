@@ -12,15 +12,17 @@ the class of the word's first id, as the layer predicts it, times the word's sha
 tokens that begin with that class. ``MIX`` is the weight of the latter. Both sum to at most one
 over all words.
 
-Counts and the contexts that make the classes cover all training documents. The layer starts from
-a fit on at most ``SAMPLE_WINDOWS`` windows, drawn by a hash of document and position, and then
-learns from every window of the training text: windows are dealt to shards and rounds, the shards
-of a round learn from the same weights in tasks of their own, and a weighted mean of what they
-learnt begins the next round. An id's row weighs by how often the shard has it.
-
-Word counts may outgrow any machine. Documents are dealt to chunks of bounded size; each chunk
-sends its distinct words to be counted and gets their counts back, so a word travels once for a
-chunk and not once for a document.
+Texts are cut into words and ids once. Each task lays its documents in chunks of bounded size, a
+row with its distinct words, their ids and the sequence of its words, and all later passes read
+these rows. Counts and the contexts that make the classes cover all training documents. The layer
+starts from a fit on at most ``start_windows`` windows, drawn by chunk and position, and then
+learns from every window of the training text in ``PASSES`` passes: each task streams its chunks
+and learns from its share of their windows, from the same weights as the others, and a weighted
+mean of what the tasks learnt begins the next pass. An id's row weighs by how often a task has it.
+
+Word counts may outgrow any machine. Each chunk's distinct words are summed with all others', and
+their counts come back to the chunk by a join, so a word travels once for a chunk and not once for
+a document, and adaptive execution can split a word that all chunks have.
 """
 
 from collections.abc import Iterator
@@ -28,29 +30,34 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import shared
 from ratingloom.llm.words import Words, mix, text_slices, words_of
 
-CHUNK_BYTES = 1 << 23
-SAMPLE_WINDOWS = 60_000
-PART_WINDOWS, MAX_SHARDS = 30_000, 256
+CHUNK_BYTES = 1 << 24
+START_WINDOWS = 60_000
+PASSES = 2
 LENGTH = 32
 OVERLAP = 8
 DIM = 16
 START_CLASSES, GO_ON_CLASSES = 27, 36
 STEPS, BATCH, RATE = 700, 256, 0.01
-ROUND_RATE = 0.003
+PASS_BATCH, PASS_RATE, SLOWER = 512, 0.003, 200
 MIX = 0.85
 _KEPT = 400_000
 _SLICE = 1 << 21
+_TOKENS = 300_000
 _CONTEXTS = 256
 
 
 class Subwords:
-    """Subword ids of lower-cased words; those of recent words are kept."""
+    """Subword ids of lower-cased words; those of recent words are kept.
+
+    A word that the vocabulary's normaliser leaves nothing of is a blank.
+    """
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -59,6 +66,7 @@ class Subwords:
         pieces = [self.model.id_to_piece(i) for i in range(self.size)]
         self.starts = np.array([p.startswith("▁") for p in pieces])
         self.starts[self.end] = True
+        self.blank = self.model.piece_to_id("▁")
         self.known: dict[int, bytes] = {}
 
     def of(self, hashes: np.ndarray, words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +78,7 @@ class Subwords:
                 self.known, new = {}, list(range(len(keys)))
             texts = [words.text(first[j]).decode() for j in new]
             for j, ids in zip(new, self.model.encode(texts, num_threads=1)):
-                self.known[keys[j]] = np.array(ids, np.uint16).tobytes()
+                self.known[keys[j]] = np.array(ids or [self.blank], np.uint16).tobytes()
         found = [self.known[h] for h in keys]
         counts = np.array([len(f) for f in found], np.int64) // 2
         return np.frombuffer(b"".join(found), np.uint16).astype(np.int64), counts
@@ -133,39 +141,49 @@ class Attention:
         sums = np.log(logits @ np.stack((np.ones_like(groups), groups), 1))
         return own - sums[:, 0], sums[:, 1] - sums[:, 0]
 
-    def _gradients(self, ids: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(
+        self, ids: np.ndarray, target: np.ndarray
+    ) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Gradients, and the ids whose rows that of ``embed`` has: those of the batch."""
         x, asked, p, seen, y = self._layer(ids)
-        logits = np.clip(y @ self.out + self.bias, -30, 30)
+        logits = y.reshape(-1, DIM) @ self.out
+        logits += self.bias
+        np.clip(logits, -30, 30, out=logits)
         np.exp(logits, out=logits)
-        logits /= logits.sum(2, keepdims=True)
-        flat = logits.reshape(-1, logits.shape[2])
-        flat[np.arange(len(flat)), target.ravel()] -= 1
-        logits /= len(flat)
-        g = {"bias": logits.sum((0, 1)), "out": y.reshape(-1, DIM).T @ flat}
-        dy = logits @ self.out.T
+        logits *= 1 / (logits.sum(1, keepdims=True) * len(logits))
+        logits[np.arange(len(logits)), target.ravel()] -= 1 / len(logits)
+        g = {"bias": logits.sum(0), "out": y.reshape(-1, DIM).T @ logits}
+        dy = (logits @ self.out.T).reshape(y.shape)
         g["move"] = seen.reshape(-1, DIM).T @ dy.reshape(-1, DIM)
         dseen = dy @ self.move.T
         dp = dseen @ x.transpose(0, 2, 1)
-        ds = p * (dp - (dp * p).sum(2, keepdims=True))
-        dasked = ds @ x
+        dp -= (dp * p).sum(2, keepdims=True)
+        dp *= p
+        dasked = dp @ x
         g["match"] = x.reshape(-1, DIM).T @ dasked.reshape(-1, DIM)
-        dx = dy + p.transpose(0, 2, 1) @ dseen + ds.transpose(0, 2, 1) @ asked
+        dx = dy + p.transpose(0, 2, 1) @ dseen + dp.transpose(0, 2, 1) @ asked
         dx += dasked @ self.match.T
         g["place"] = dx.sum(0)
-        g["embed"] = np.zeros_like(self.embed)
-        np.add.at(g["embed"], ids.ravel(), dx.reshape(-1, DIM))
-        return g
+        flat = ids.ravel()
+        order = np.argsort(flat, kind="stable")
+        touched, first = np.unique(flat[order], return_index=True)
+        g["embed"] = np.add.reduceat(dx.reshape(-1, DIM)[order], first, axis=0)
+        return g, touched
 
     def _adam(self, batches: Iterator[tuple[np.ndarray, float]]) -> None:
+        """Adam; of ``embed``, a step moves the rows of its batch alone."""
         mean = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
         square = {n: np.zeros_like(getattr(self, n)) for n in self.NAMES}
         for step, (pick, rate) in enumerate(batches, 1):
-            grads = self._gradients(pick[:, :-1], self.classes[pick[:, 1:]])
+            grads, touched = self._gradients(pick[:, :-1], self.classes[pick[:, 1:]])
             for n in self.NAMES:
-                mean[n] += 0.1 * (grads[n] - mean[n])
-                square[n] += 0.01 * (grads[n] ** 2 - square[n])
-                m, v = mean[n] / (1 - 0.9**step), square[n] / (1 - 0.99**step)
-                setattr(self, n, getattr(self, n) - rate * m / (np.sqrt(v) + 1e-6))
+                at = touched if n == "embed" else slice(None)
+                m, v = mean[n][at], square[n][at]
+                m = m + np.float32(0.1) * (grads[n] - m)
+                v = v + np.float32(0.01) * (grads[n] ** 2 - v)
+                mean[n][at], square[n][at] = m, v
+                m, v = m / np.float32(1 - 0.9**step), v / np.float32(1 - 0.99**step)
+                getattr(self, n)[at] -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-6))
 
     def fit(self, windows: np.ndarray, seed: int = 2) -> None:
         """Adam on windows of ``LENGTH + 1`` ids."""
@@ -178,13 +196,10 @@ class Attention:
             for step in range(1, STEPS + 1)
         )
 
-    def learn(self, windows: np.ndarray, done: float, share: float) -> None:
-        """Adam once over all ``windows``, after the part ``done`` of all rounds and for ``share``."""
-        lows = range(0, len(windows), BATCH)
-        self._adam(
-            (windows[k : k + BATCH], ROUND_RATE * (1 - done - share * k / len(windows)))
-            for k in lows
-        )
+    def learn(self, parts: Iterator[np.ndarray]) -> None:
+        """Adam once over all windows of ``parts``."""
+        batches = (w[k : k + PASS_BATCH] for w in parts for k in range(0, len(w), PASS_BATCH))
+        self._adam((w, PASS_RATE / (1 + k / SLOWER) ** 0.5) for k, w in enumerate(batches))
 
     def rows(self) -> np.ndarray:
         """All weights in rows of ``DIM``, those of the ids first."""
@@ -255,8 +270,8 @@ def _columns(counts: np.ndarray) -> np.ndarray:
     return columns
 
 
-def _windows(sequence: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that cover sequences laid end to end, and where each begins.
+def _windows(sequence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Windows that cover sequences laid end to end.
 
     Each next id is predicted once. The ends of sequences that fill no window are put end to end;
     the last of them goes over to ids that were there before.
@@ -269,175 +284,292 @@ def _windows(sequence: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     left[left == 1] = 0
     rest = _spread(first + full * LENGTH, left)
     if not len(rest):
-        return whole, at
+        return whole
     k = max(1, -(-(len(rest) - 1) // LENGTH))
     begin = np.minimum(np.arange(k) * LENGTH, max(0, len(rest) - LENGTH - 1))
     of = (begin[:, None] + np.arange(LENGTH + 1)) % len(rest)
-    return np.concatenate((whole, sequence[rest[of]])), np.concatenate((at, rest[begin]))
+    return np.concatenate((whole, sequence[rest[of]]))
+
+
+_CHUNK = (
+    "chunk long, doc_id array<long>, held_out array<boolean>, n_words array<long>, "
+    "words array<long>, n array<long>, each binary, ids binary, tokens binary"
+)
 
 
-_CUT = "round int, shard int, pick long, ids binary, cell long, n long"
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: pa.BinaryScalar, n: int, kind: type) -> np.ndarray:
+    size = n * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(data.as_buffer(), size, codec="zstd"), kind)
+
+
+def _chunk_row(slices: list[tuple], number: int) -> pa.RecordBatch:
+    """A row of a chunk made of slices; its words are in the order of their frequency."""
+    doc_id, out, n_words, distinct, n, ids, each, tokens = zip(*slices)
+    start = np.cumsum([0, *map(len, distinct)])
+    each = np.concatenate(each)
+    words, at, to = np.unique(np.concatenate(distinct), return_index=True, return_inverse=True)
+    tokens = np.concatenate([to[s + t] for s, t in zip(start, tokens)])
+    order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[order] = np.arange(len(words))
+    trained = np.bincount(to, np.concatenate(n), len(words)).astype(np.int64)[order]
+    at = at[order]
+    ids = np.concatenate(ids)[_spread((np.cumsum(each) - each)[at], each[at])]
+
+    def listed(values) -> pa.Array:
+        return pa.array([values])
+
+    columns = [
+        pa.array([number], pa.int64()),
+        pa.ListArray.from_arrays([0, sum(map(len, doc_id))], pa.concat_arrays(doc_id)),
+        listed(np.concatenate(out)),
+        listed(np.concatenate(n_words)),
+        pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
+        pa.array([trained], pa.list_(pa.int64())),
+        pa.array([_packed(each[at].astype(np.uint32))], pa.binary()),
+        pa.array([_packed(ids.astype(np.uint16))], pa.binary()),
+        pa.array([_packed(rank[tokens])], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CHUNK.split(", ")])
 
 
-def _cut(training: DataFrame, path: str, columns: np.ndarray, shards: int, rounds: int) -> DataFrame:
-    """All windows of the training text, dealt by document and position; and, under round -1, how
-    often ids have each context."""
-    wide = _CONTEXTS + 1
+def _encoded(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` (doc_id, held_out, text) in rows of chunks, see ``_CHUNK``.
 
-    def batch_of(**given) -> pa.RecordBatch:
-        n = len(next(iter(given.values())))
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        names = [c.split()[0] for c in _CUT.split(", ")]
-        arrays = [pa.array(given.get(c, [None] * n), t) for c, t in zip(names, kinds)]
-        return pa.RecordBatch.from_arrays(arrays, names)
+    ``n`` is how often a word is in the chunk's training documents. A chunk is numbered by its
+    task and its place in it; it is written once, and all that follows reads what was written.
+    """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub, around = subwords(path), None
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sub = subwords(path)
+        number = TaskContext.get().partitionId() << 32
+        slices, size = [], 0
         for batch in batches:
-            ids_of = batch.column("id_hash").to_numpy().view(np.uint64)
+            out = batch.column("held_out").to_numpy(zero_copy_only=False)
             for low, high, data, offsets in text_slices(batch.column("text"), _SLICE):
                 found = words_of(data, offsets)
-                distinct, at, inverse = np.unique(
+                distinct, first, inverse = np.unique(
                     found.hashes, return_index=True, return_inverse=True
                 )
-                ids, each = sub.of(distinct, found, at)
-                n_ids, n_docs = each[inverse], high - low
-                lengths = np.bincount(found.doc, n_ids, n_docs).astype(np.int64) + 2
-                first = np.cumsum(lengths) - lengths
-                sequence = np.empty(int(lengths.sum()), np.int64)
-                inner = np.ones(len(sequence), bool)
-                inner[first] = inner[first + lengths - 1] = False
-                sequence[inner] = ids[_spread((np.cumsum(each) - each)[inverse], n_ids)]
-                sequence[first], sequence[first + lengths - 1] = sub.begin, sub.end
-
+                n = np.bincount(inverse, ~out[low:high][found.doc], len(distinct))
+                ids, each = sub.of(distinct, found, first)
+                slices.append(
+                    (
+                        batch.column("doc_id")[low:high], out[low:high], found.per_doc(),
+                        distinct, n, ids.astype(np.uint16), each, inverse.astype(np.uint32),
+                    )
+                )
+                size += len(data)
+                if size >= CHUNK_BYTES:
+                    yield _chunk_row(slices, number)
+                    number, slices, size = number + 1, [], 0
+        if slices:
+            yield _chunk_row(slices, number)
+        shared.trim()
+
+    made = docs.select("doc_id", "held_out", "text").mapInArrow(encode, _CHUNK)
+    return shared.stored(made, "encoded")
+
+
+class Chunk:
+    """A row of a chunk, read back."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch, row: int):
+        def values(name: str) -> np.ndarray:
+            return table[name][row].values.to_numpy(zero_copy_only=False)
+
+        self.number = np.uint64(table["chunk"][row].as_py())
+        self.held_out, self.n_words, n = values("held_out"), values("n_words"), values("n")
+        self.trained = n
+        self.each = _unpacked(table["each"][row], len(n), np.uint32).astype(np.int64)
+        self.starts = np.cumsum(self.each) - self.each
+        self.ids = _unpacked(table["ids"][row], int(self.each.sum()), np.uint16).astype(np.int64)
+        self.tokens = _unpacked(table["tokens"][row], int(self.n_words.sum()), np.uint32)
+
+    def parts(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first document, end, words) of runs of documents of bounded size, or of one."""
+        ends, low = np.cumsum(self.n_words), 0
+        while low < len(ends):
+            done = int(ends[low - 1]) if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, done + _TOKENS, "right")))
+            yield low, high, self.tokens[done : ends[high - 1]].astype(np.int64)
+            low = high
+
+    def windows(self, sub: Subwords) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(windows, sequence, its documents' lengths) of runs of training documents, each
+        document from its begin to its end."""
+        for low, high, tokens in self.parts():
+            train, n_words = ~self.held_out[low:high], self.n_words[low:high]
+            if not train.any():
+                continue
+            tokens, n_words = tokens[np.repeat(train, n_words)], n_words[train]
+            each = self.each[tokens]
+            lengths = 2 + np.bincount(
+                np.repeat(np.arange(len(n_words)), n_words), each, len(n_words)
+            ).astype(np.int64)
+            first = np.cumsum(lengths) - lengths
+            sequence = np.empty(int(lengths.sum()), np.int64)
+            inner = np.ones(len(sequence), bool)
+            inner[first] = inner[first + lengths - 1] = False
+            sequence[inner] = self.ids[_spread(self.starts[tokens], each)]
+            sequence[first], sequence[first + lengths - 1] = sub.begin, sub.end
+            yield _windows(sequence, lengths), sequence, lengths
+
+    def picks(self, part: int, n: int) -> np.ndarray:
+        """Numbers below 2**63 that say in what order and pass windows are learnt from."""
+        begin = mix(np.array([self.number, part], np.uint64)).sum()
+        return mix(begin + np.arange(n, dtype=np.uint64)) >> np.uint64(1)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield Chunk(batch, row)
+
+
+_READ = ("chunk", "held_out", "n_words", "n", "each", "ids", "tokens")
+
+
+def _id_counts(encoded: DataFrame, sub: Subwords) -> np.ndarray:
+    """How often each id is in the words of the training text."""
+    n_ids = sub.size
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_ids, np.int64)
+        for chunk in _chunks(batches):
+            weights = np.repeat(chunk.trained, chunk.each)
+            total += np.bincount(chunk.ids, weights, n_ids).astype(np.int64)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    seen = encoded.select(*_READ).mapInArrow(count, "id long, n long")
+    seen = seen.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n_ids)
+    out[seen["id"].to_numpy()] = seen["n"].to_numpy()
+    return out
+
+
+def _surveyed(encoded: DataFrame, path: str, columns: np.ndarray, rate: float) -> DataFrame:
+    """How often ids have each context (cell, n), and the windows drawn at ``rate`` (pick, ids)."""
+    wide, limit = _CONTEXTS + 1, np.uint64(int(min(rate, 1.0) * (2**63 - 1)))
+
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sub = subwords(path)
+        around = np.zeros(2 * sub.size * wide, np.int64)
+        for chunk in _chunks(batches):
+            for part, (windows, sequence, lengths) in enumerate(chunk.windows(sub)):
                 inside = np.ones(len(sequence) - 1, bool)
-                inside[first[1:] - 1] = False
+                inside[np.cumsum(lengths)[:-1] - 1] = False
                 before, after = sequence[:-1][inside], sequence[1:][inside]
-                if around is None:
-                    around = np.zeros(2 * sub.size * wide, np.int32)
                 for side, (a, b) in enumerate(((before, after), (after, before))):
-                    cells, n = np.unique(
-                        (side * sub.size + a) * wide + columns[b], return_counts=True
-                    )
-                    around[cells] += n.astype(np.int32)
-
-                windows, begin = _windows(sequence, lengths)
-                doc = np.searchsorted(first, begin, "right") - 1
-                place = (begin - first[doc]).astype(np.uint64)
-                pick = mix(ids_of[low:high][doc] + mix(place + np.uint64(1))) >> np.uint64(1)
-                dealt = (mix(pick) % np.uint64(shards * rounds)).astype(np.int64)
-                raw = windows.astype(np.uint16)
-                yield batch_of(
-                    round=dealt // shards,
-                    shard=dealt % shards,
-                    pick=pick.astype(np.int64),
-                    ids=[w.tobytes() for w in raw],
+                    cells, n = np.unique(a * wide + columns[b], return_counts=True)
+                    around[side * sub.size * wide + cells] += n
+                picks = chunk.picks(part, len(windows))
+                drawn = picks <= limit
+                n, raw = int(drawn.sum()), windows[drawn].astype(np.uint16)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                        pa.array(picks[drawn].astype(np.int64)),
+                        pa.array([w.tobytes() for w in raw], pa.binary()),
+                    ],
+                    ["cell", "n", "pick", "ids"],
                 )
-        if around is not None:
-            cells = np.flatnonzero(around)
-            yield batch_of(round=np.full(len(cells), -1), cell=cells, n=around[cells])
-
-    spark = training.sparkSession
-    folder = shared.new_path(spark, "windows")
-    made = training.select(F.xxhash64("doc_id").alias("id_hash"), "text").mapInArrow(cut, _CUT)
-    made.write.partitionBy("round").parquet(folder)
-    return spark.read.schema(_CUT).parquet(folder)
-
+        cells = np.flatnonzero(around)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(cells), pa.array(around[cells]),
+                pa.nulls(len(cells), pa.int64()), pa.nulls(len(cells), pa.binary()),
+            ],
+            ["cell", "n", "pick", "ids"],
+        )
 
-def _matrix_of(packed: pa.ChunkedArray) -> np.ndarray:
-    ids = np.frombuffer(b"".join(packed.to_pylist()), np.uint16)
-    return ids.astype(np.int64).reshape(-1, LENGTH + 1)
+    made = encoded.select(*_READ).mapInArrow(survey, "cell long, n long, pick long, ids binary")
+    return shared.stored(made, "survey")
 
 
-def _learn_round(windows: DataFrame, net: Attention, of: int, rounds: int) -> None:
-    """Learn from all windows of a round, a task for each shard."""
-    sent = windows.sparkSession.sparkContext.broadcast(net)
+def _learn_pass(encoded: DataFrame, path: str, net: Attention, of: int) -> int:
+    """Learn from one pass's share of all windows; returns how many they are."""
+    sent = encoded.sparkSession.sparkContext.broadcast(net)
     values = [f"v{k}" for k in range(DIM)]
 
-    def learn(table: pa.Table) -> pa.Table:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sub = subwords(path)
         mine = Attention.__new__(Attention)
         mine.__dict__.update({k: v.copy() for k, v in sent.value.__dict__.items()})
-        ids = _matrix_of(table["ids"])[np.argsort(table["pick"].to_numpy(), kind="stable")]
-        mine.learn(ids, of / rounds, 1 / rounds)
+        often = np.zeros(len(mine.embed))
+        n = 0
+
+        def shares() -> Iterator[np.ndarray]:
+            nonlocal n
+            for chunk in _chunks(batches):
+                for part, (windows, *_) in enumerate(chunk.windows(sub)):
+                    picks = chunk.picks(part, len(windows))
+                    order = np.argsort(picks)
+                    windows = windows[order[picks[order] % np.uint64(PASSES) == of]]
+                    often[:] += np.bincount(windows[:, :-1].ravel(), minlength=len(often))
+                    n += len(windows)
+                    yield windows
+
+        mine.learn(shares())
         rows = mine.rows()
-        weight = np.full(len(rows), float(len(ids)))
-        weight[: len(mine.embed)] = np.bincount(ids[:, :-1].ravel(), minlength=len(mine.embed))
+        weight = np.full(len(rows), float(n))
+        weight[: len(often)] = often
         some = np.flatnonzero(weight)
         sums = rows[some] * weight[some, None]
-        return pa.table([some, weight[some], *sums.T.copy()], names=["row", "w", *values])
+        counted = np.zeros(len(some), np.int64)
+        counted[:1] = n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (some, weight[some], counted, *sums.T.copy())],
+            ["row", "w", "windows", *values],
+        )
+        shared.trim()
 
+    kinds = ", ".join(["row long, w double, windows long", *(f"{v} double" for v in values)])
     learnt = (
-        windows.filter(F.col("round") == of)
-        .select("shard", "pick", "ids")
-        .groupBy("shard")
-        .applyInArrow(learn, ", ".join(["row long", "w double", *(f"{v} double" for v in values)]))
+        encoded.select(*_READ)
+        .mapInArrow(learn, kinds)
         .groupBy("row")
-        .agg(*(F.sum(c).alias(c) for c in ("w", *values)))
+        .agg(*(F.sum(c).alias(c) for c in ("w", "windows", *values)))
         .toArrow()
     )
+    sent.destroy()
+    if not learnt.num_rows:
+        return 0
     rows = net.rows()
     sums = np.stack([learnt[v].to_numpy() for v in values], 1)
     rows[learnt["row"].to_numpy()] = sums / learnt["w"].to_numpy()[:, None]
     net.set_rows(rows)
+    return int(learnt["windows"].to_numpy().sum())
 
 
-def _fitted(training: DataFrame, path: str, id_counts: np.ndarray, sub: Subwords) -> Attention:
+def _fitted(
+    encoded: DataFrame, path: str, id_counts: np.ndarray, sub: Subwords, start_windows: int
+) -> Attention:
     """The layer, its classes and weights made from all training text."""
     counts = id_counts.copy()
     counts[sub.begin] += id_counts[sub.end]
     n_windows = max(1, int(counts.sum()) // LENGTH)
-    shards = min(MAX_SHARDS, max(1, n_windows // (2 * PART_WINDOWS)))
-    rounds = max(1, -(-n_windows // (shards * PART_WINDOWS)))
-    cut = _cut(training, path, _columns(counts), shards, rounds)
-    cells = cut.filter("round = -1").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    survey = _surveyed(encoded, path, _columns(counts), 1.2 * start_windows / n_windows)
+    cells = survey.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     flat = np.zeros(2 * sub.size * (_CONTEXTS + 1), np.float32)
     flat[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     around = np.concatenate(flat.reshape(2, sub.size, _CONTEXTS + 1), axis=1)
     net = Attention(id_classes(around, counts, sub.starts, sub.end), sub.size)
-    windows = cut.filter("round >= 0")
-    rate = min(1.0, 1.2 * SAMPLE_WINDOWS / n_windows)
-    drawn = windows.filter(F.col("pick") <= int(rate * (2**63 - 1))) if rate < 1 else windows
-    sample = drawn.select("pick", "ids").orderBy("pick", "ids").limit(SAMPLE_WINDOWS).toArrow()
+    drawn = survey.filter("pick is not null").select("pick", "ids")
+    sample = drawn.orderBy("pick", "ids").limit(start_windows).toArrow()
     if sample.num_rows:
-        net.fit(_matrix_of(sample["ids"]))
-        for of in range(rounds):
-            _learn_round(windows, net, of, rounds)
+        ids = np.frombuffer(b"".join(sample["ids"].to_pylist()), np.uint16)
+        net.fit(ids.astype(np.int64).reshape(-1, LENGTH + 1))
+        for of in range(PASSES):
+            _learn_pass(encoded, path, net, of)
     return net
 
 
-def _count(path: str):
-    """Of a chunk: its distinct words and their training count; ids and theirs (chunk null)."""
-
-    def count(table: pa.Table) -> pa.Table:
-        model = subwords(path)
-        chunk = table["chunk"][0].as_py()
-        out = table["held_out"].to_numpy(zero_copy_only=False)
-        hashes, counts = [], []
-        ids_seen = np.zeros(model.size, np.int64)
-        for low, high, data, offsets in text_slices(table["text"], _SLICE):
-            found = words_of(data, offsets)
-            distinct, first, inverse = np.unique(
-                found.hashes, return_index=True, return_inverse=True
-            )
-            n = np.bincount(inverse, ~out[low:high][found.doc], len(distinct)).astype(np.int64)
-            ids, each = model.of(distinct, found, first)
-            ids_seen += np.bincount(ids, np.repeat(n, each), model.size).astype(np.int64)
-            hashes.append(distinct)
-            counts.append(n)
-        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        n = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-        used = np.flatnonzero(ids_seen)
-        return pa.table(
-            {
-                "chunk": pa.array([chunk] * len(distinct) + [None] * len(used), pa.int64()),
-                "word": np.concatenate((distinct.view(np.int64), used)),
-                "n": np.concatenate((n, ids_seen[used])),
-            }
-        )
-
-    return count
-
-
 def _id_scores(model, sub: Subwords, ids: np.ndarray, lengths: np.ndarray):
     """For sequences laid end to end, each ending in the end id: by position, the log
     probability of its id's class and that of a word beginning there."""
@@ -473,37 +605,29 @@ def _id_scores(model, sub: Subwords, ids: np.ndarray, lengths: np.ndarray):
 def _score(path: str, model, n_docs: int):
     """Scores of a chunk's documents, given the counts of its words."""
 
-    def score(docs: pa.Table, words: pa.Table) -> pa.Table:
+    def score(chunks: pa.Table, words: pa.Table) -> pa.Table:
         sub, (net, within, class_counts) = subwords(path), model.value
         starting = np.zeros(int(net.classes.max()) + 1, np.float32)
         starting[: START_CLASSES + 1] = 1.0
-        known = words["word"].to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known, count = known[order], words["c"].to_numpy()[order]
-        if not docs.num_rows:
-            return pa.table([[]] * 7, schema=_SCORED)
+        chunk = Chunk(chunks, 0)
+        count = np.zeros(len(chunk.trained), np.int64)
+        count[words["at"].to_numpy()] = words["c"].to_numpy()
         columns: list[list[np.ndarray]] = [[] for _ in range(4)]
-        for low, high, data, offsets in text_slices(docs["text"], _SLICE):
+        for low, high, tokens in chunk.parts():
             n = high - low
-            found = words_of(data, offsets)
-            distinct, first, inverse = np.unique(
-                found.hashes, return_index=True, return_inverse=True
-            )
-            c = count[np.searchsorted(known, distinct)] if len(distinct) else np.zeros(0, np.int64)
-            ids, each = sub.of(distinct, found, first)
-            starts = np.cumsum(each) - each
             # Words of each document, then its end, whose count is the number of documents.
-            per_doc = found.per_doc()
-            place = np.arange(len(found.doc)) + found.doc
+            per_doc = chunk.n_words[low:high]
+            doc_of = np.repeat(np.arange(n), per_doc)
+            place = np.arange(len(tokens)) + doc_of
             ends = np.cumsum(per_doc + 1) - 1
             token_c = np.empty(len(place) + n, np.int64)
-            token_c[place], token_c[ends] = c[inverse], n_docs
+            token_c[place], token_c[ends] = count[tokens], n_docs
             sizes = np.ones(len(token_c), np.int64)
-            sizes[place] = each[inverse]
+            sizes[place] = chunk.each[tokens]
             sequence = np.empty(int(sizes.sum()), np.int64)
             token_at = np.cumsum(sizes) - sizes
-            sequence[_spread(token_at[place], sizes[place])] = ids[
-                _spread(starts[inverse], each[inverse])
+            sequence[_spread(token_at[place], sizes[place])] = chunk.ids[
+                _spread(chunk.starts[tokens], sizes[place])
             ]
             sequence[token_at[ends]] = sub.end
             doc = np.repeat(np.arange(n), per_doc + 1)
@@ -524,11 +648,12 @@ def _score(path: str, model, n_docs: int):
             columns[2].append(np.bincount(doc, np.log10(token_c + 1.0), n))
             columns[3].append(np.bincount(doc, mixed, n) / np.log(10))
         n_tokens, n_known, base, total = map(np.concatenate, columns)
-        distinct_here = np.zeros(docs.num_rows, np.int64)
-        distinct_here[0] = int((words["first"].to_numpy(zero_copy_only=False) & (words["c"].to_numpy() > 0)).sum())
+        # Words that this chunk counts for the vocabulary.
+        distinct = np.zeros(len(n_tokens), np.int64)
+        distinct[0] = int(words["mine"].to_numpy(zero_copy_only=False).sum())
+        ids = chunks["doc_id"][0].values
         return pa.table(
-            [docs["doc_id"], docs["held_out"], n_tokens, n_known, base, total, distinct_here],
-            schema=_SCORED,
+            [ids, chunk.held_out, n_tokens, n_known, base, total, distinct], schema=_SCORED
         )
 
     return score
@@ -547,7 +672,9 @@ _SCORED = pa.schema(
 )
 
 
-def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
+def score_texts(
+    docs: DataFrame, vocabulary_path: str, start_windows: int = START_WINDOWS
+) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text).
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, where ``base_score``
@@ -555,7 +682,8 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     with crc32(doc_id as text) of 2 modulo 7 are held out, the rest is trained on; a row without
     doc_id is trained on. A null or empty text is an end alone. Rows that repeat count each. With
     no training rows, ``train_tokens`` is 0 and the layer keeps its first weights. Other columns
-    are not looked at.
+    are not looked at. The layer learns from all training text, after a first fit on at most
+    ``start_windows`` windows of it.
     """
     spark = docs.sparkSession
     shared.ship(spark)
@@ -564,41 +692,34 @@ def score_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         held_out(F.col("doc_id")).alias("held_out"),
     )
-    n_bytes, n_docs = docs.agg(
-        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))
+    encoded = _encoded(docs, vocabulary_path)
+    n_docs, n_words = encoded.agg(
+        F.coalesce(F.sum(F.size(F.filter("held_out", lambda h: ~h))), F.lit(0)),
+        F.coalesce(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, n: a + n)), F.lit(0)),
     ).first()
-    chunks = max(1, -(-n_bytes // CHUNK_BYTES))
-    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    counted = shared.stored(
-        dealt.groupBy("chunk").applyInArrow(
-            _count(vocabulary_path), "chunk long, word long, n long"
-        ),
-        "word-counts",
-    )
-    n_words = counted.filter("chunk is not null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_train = n_words + n_docs
-    of_ids = counted.filter("chunk is null").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     sub = subwords(vocabulary_path)
-    id_counts = np.zeros(sub.size)
-    id_counts[of_ids["word"].to_numpy()] = of_ids["n"].to_numpy()
+    id_counts = _id_counts(encoded, sub)
     id_counts[sub.end] = n_docs
 
-    net = _fitted(docs.filter("not held_out"), vocabulary_path, id_counts, sub)
+    net = _fitted(encoded, vocabulary_path, id_counts, sub, start_windows)
     classes = net.classes
     # Words begin with one word-initial id each, so these count the words of a class.
     class_counts = np.bincount(classes, id_counts)
     model = spark.sparkContext.broadcast((net, _within(classes, id_counts), class_counts))
 
-    of_word = Window.partitionBy("word")
-    returned = counted.filter("chunk is not null").select(
-        "chunk",
-        "word",
-        F.sum("n").over(of_word).alias("c"),
-        (F.row_number().over(of_word.orderBy("chunk")) == 1).alias("first"),
+    own = encoded.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "of"))
+    own = own.select(F.col("chunk").alias("to"), "at", F.col("of.words").alias("word"), F.col("of.n").alias("n"))
+    sums = own.groupBy("word").agg(
+        F.sum("n").alias("c"), F.min("to").alias("owner")
+    ).filter("c > 0")
+    returned = own.drop("n").join(sums, "word").select(
+        "to", "at", "c", (F.col("owner") == F.col("to")).alias("mine")
     )
     scored = shared.stored(
-        dealt.groupBy("chunk")
-        .cogroup(returned.groupBy("chunk"))
+        encoded.select("chunk", "doc_id", *_READ[1:])
+        .groupBy("chunk")
+        .cogroup(returned.groupBy("to"))
         .applyInArrow(
             _score(vocabulary_path, model, n_docs),
             "doc_id long, held_out boolean, n_tokens long, n_known long, base double, "

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from ratingloom.llm import lm
 
@@ -65,7 +66,9 @@ def test_gradients():
         own, _ = net.log_scores(ids[:, :-1], ids[:, 1:], np.ones(7), 0)
         return -own.mean()
 
-    grads = net._gradients(ids[:, :-1], classes[ids[:, 1:]])
+    grads, touched = net._gradients(ids[:, :-1], classes[ids[:, 1:]])
+    rows, grads["embed"] = grads["embed"], np.zeros_like(net.embed)
+    grads["embed"][touched] = rows
     for name in net.NAMES:
         value = getattr(net, name)
         at = (int(ids[0, 0]), 3) if name == "embed" else (2,) * value.ndim
@@ -116,41 +119,75 @@ def test_windows_predict_every_id_once():
     rng = np.random.default_rng(3)
     lengths = np.array([2, 33, 34, 100, 65, 3])
     sequence = np.arange(lengths.sum())
-    got, _ = lm._windows(sequence, lengths)
+    got = lm._windows(sequence, lengths)
     first = set((np.cumsum(lengths) - lengths).tolist())
     pairs = {(a, b) for w in got.tolist() for a, b in zip(w, w[1:])}
     assert {(i - 1, i) for i in sequence.tolist() if i not in first} <= pairs
-    tiny, _ = lm._windows(np.array([1, 2]), np.array([2]))
+    tiny = lm._windows(np.array([1, 2]), np.array([2]))
     assert tiny.shape == (1, lm.LENGTH + 1)
 
 
 def test_all_text_is_learnt_from(spark, monkeypatch):
-    """Every window reaches a round; copies are dealt apart; classes know all frequent ids."""
-    monkeypatch.setattr(lm, "PART_WINDOWS", 40)
-    monkeypatch.setattr(lm, "SAMPLE_WINDOWS", 20, raising=False)
+    """Every window reaches a pass, none of a held-out text; classes know all frequent ids."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(lm, "_SLICE", 2000)
+    monkeypatch.setattr(lm, "_TOKENS", 300)
     monkeypatch.setattr(lm, "STEPS", 2)
     sub = lm.subwords(PATH)
     texts = ["a house of copies " * 60] * 40 + [f"the river number {i} is long" for i in range(300)]
+    texts.append("ends in a space that the vocabulary drops \u200b \ufeff")
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    rounds = []
-    learn = lm._learn_round
-
-    def watched(windows, net, of, total):
-        before = net.rows()
-        n = windows.filter(f"round = {of}").groupBy("shard").count().collect()
-        learn(windows, net, of, total)
-        rounds.append((total, sum(r["count"] for r in n), (net.rows() != before).any()))
-
-    monkeypatch.setattr(lm, "_learn_round", watched)
+    encoded = lm._encoded(docs.withColumn("held_out", lm.held_out(docs.doc_id)), PATH)
+    assert encoded.count() > 6
     counts = np.zeros(sub.size)
-    for text in texts:
-        for word in words(text):
-            np.add.at(counts, sub.model.encode(word.decode() if isinstance(word, bytes) else word), 1)
-    counts[sub.end] = len(texts)
-    net = lm._fitted(docs, PATH, counts, sub)
-    n_next = int(counts.sum())
-    assert len(rounds) == rounds[0][0] > 1 and all(changed for *_, changed in rounds)
-    assert all(n for _, n, _ in rounds)
-    assert sum(n for _, n, _ in rounds) * lm.LENGTH >= n_next
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    for text, out in zip(texts, held):
+        for word in [] if out else words(text):
+            ids = sub.model.encode(word.decode() if isinstance(word, bytes) else word)
+            np.add.at(counts, ids or [sub.blank], 1)
+    got = lm._id_counts(encoded, sub)
+    assert np.array_equal(got, counts)
+
+    passes = []
+    learn = lm._learn_pass
+
+    def watched(encoded, path, net, of):
+        before = net.rows()
+        passes.append(learn(encoded, path, net, of))
+        assert (net.rows() != before).any()
+
+    monkeypatch.setattr(lm, "_learn_pass", watched)
+    counts[sub.end] = held.count(False)
+    net = lm._fitted(encoded, PATH, counts, sub, 20)
+    least = int(counts.sum()) // lm.LENGTH
+    assert len(passes) == lm.PASSES and all(n > least / 4 for n in passes)
+    # Each run of documents has at most one window that is not full of new ids.
+    runs = sum(len(list(lm.Chunk(t, 0).parts())) for t in _one_by_one(encoded))
+    assert least <= sum(passes) <= least + 2 * runs
     often = np.flatnonzero((counts >= 5) & sub.starts)
     assert (net.classes[often] != lm.START_CLASSES).all()
+
+
+def _one_by_one(encoded):
+    table = encoded.toArrow().combine_chunks()
+    return [table.slice(k, 1) for k in range(table.num_rows)]
+
+
+def test_chunks_hold_all_words(spark, odd):
+    """Words, ids and documents read back from the chunks are those of the texts."""
+    rows = odd.withColumn("held_out", lm.held_out(F.col("doc_id")))
+    sub = lm.subwords(PATH)
+    got = Counter()
+    for table in _one_by_one(lm._encoded(rows, PATH)):
+        chunk = lm.Chunk(table, 0)
+        ids = table["doc_id"][0].as_py()
+        for low, high, tokens in chunk.parts():
+            ends = np.cumsum(chunk.n_words[low:high])
+            for doc, own in zip(ids[low:high], np.split(tokens, ends[:-1])):
+                pieces = chunk.ids[lm._spread(chunk.starts[own], chunk.each[own])]
+                got[doc, tuple(pieces.tolist())] += 1
+    want = Counter()
+    for r in odd.collect():
+        cut = [w.decode() if isinstance(w, bytes) else w for w in words(r.text)]
+        want[r.doc_id, tuple(i for w in cut for i in sub.model.encode(w) or [sub.blank])] += 1
+    assert got == want
