@@ -16,15 +16,16 @@ Texts are cut into words and ids once. Each task lays its documents in chunks of
 row with its distinct words, their ids and the sequence of its words, and all later passes read
 these rows. Counts and the contexts that make the classes cover all training documents. The layer
 starts from a fit on at most ``start_windows`` windows, drawn by chunk and position, and then
-learns from every window of the training text in ``PASSES`` passes: each task streams its chunks
-and learns from its share of their windows, from the same weights as the others, and a weighted
-mean of what the tasks learnt begins the next pass. An id's row weighs by how often a task has it.
+learns from every window of the training text in one pass: each task streams its chunks and learns
+from the same weights as the others, and the layer is a weighted mean of what the tasks learnt. An
+id's row weighs by how often a task has it.
 
 Word counts may outgrow any machine. Each chunk's distinct words are summed with all others', and
 their counts come back to the chunk by a join, so a word travels once for a chunk and not once for
 a document, and adaptive execution can split a word that all chunks have.
 """
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,22 +40,21 @@ from ratingloom.llm.words import Words, mix, text_slices, words_of
 
 CHUNK_BYTES = 1 << 24
 START_WINDOWS = 60_000
-PASSES = 2
 LENGTH = 32
 OVERLAP = 8
 DIM = 16
 START_CLASSES, GO_ON_CLASSES = 27, 36
 STEPS, BATCH, RATE = 700, 256, 0.01
-PASS_BATCH, PASS_RATE, SLOWER = 512, 0.003, 200
+PASS_BATCH, PASS_RATE, SLOWER = 128, 0.003, 800
 MIX = 0.85
-_KEPT = 400_000
+_WORDS = 50_000
 _SLICE = 1 << 21
 _TOKENS = 300_000
 _CONTEXTS = 256
 
 
 class Subwords:
-    """Subword ids of lower-cased words; those of recent words are kept.
+    """Subword ids of lower-cased words.
 
     A word that the vocabulary's normaliser leaves nothing of is a blank.
     """
@@ -67,21 +67,17 @@ class Subwords:
         self.starts = np.array([p.startswith("▁") for p in pieces])
         self.starts[self.end] = True
         self.blank = self.model.piece_to_id("▁")
-        self.known: dict[int, bytes] = {}
-
-    def of(self, hashes: np.ndarray, words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct words, end to end, and how many each has."""
-        keys = hashes.tolist()
-        new = [j for j, h in enumerate(keys) if h not in self.known]
-        if new:
-            if len(self.known) + len(new) > _KEPT:
-                self.known, new = {}, list(range(len(keys)))
-            texts = [words.text(first[j]).decode() for j in new]
-            for j, ids in zip(new, self.model.encode(texts, num_threads=1)):
-                self.known[keys[j]] = np.array(ids or [self.blank], np.uint16).tobytes()
-        found = [self.known[h] for h in keys]
-        counts = np.array([len(f) for f in found], np.int64) // 2
-        return np.frombuffer(b"".join(found), np.uint16).astype(np.int64), counts
+
+    def of(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words that lie in ``data``, end to end, and how many each has."""
+        ids, counts = array("H"), []
+        for k in range(0, len(starts), _WORDS):
+            spans = zip(starts[k : k + _WORDS].tolist(), ends[k : k + _WORDS].tolist())
+            found = self.model.encode([data[a:b].decode() for a, b in spans], num_threads=1)
+            for one in found:
+                ids.extend(one or (self.blank,))
+            counts += [len(one) or 1 for one in found]
+        return np.array(ids, np.uint16), np.array(counts, np.int64)
 
 
 _subwords: dict[str, Subwords] = {}
@@ -119,13 +115,14 @@ class Attention:
 
     def _layer(self, ids: np.ndarray, first: int = 0):
         """The layer at each position from ``first`` on. Scores are kept small, so none overflows."""
-        x = self.embed[ids] + self.place[: ids.shape[1]]
+        x = np.take(self.embed, ids, axis=0)
+        x += self.place[: ids.shape[1]]
         asked = x[:, first:] @ self.match
         p = asked @ x.transpose(0, 2, 1)
         np.clip(p, -30, 30, out=p)
         np.exp(p, out=p)
         p *= np.tri(ids.shape[1], dtype=np.float32)[first:]
-        p /= p.sum(2, keepdims=True)
+        p /= p @ np.ones((ids.shape[1], 1), np.float32)
         seen = p @ x
         return x, asked, p, seen, x[:, first:] + seen @ self.move
 
@@ -134,7 +131,8 @@ class Attention:
     ) -> tuple[np.ndarray, np.ndarray]:
         """At each position from ``first`` on: log probability of the class of ``target``, and of
         the classes that ``groups`` marks."""
-        logits = self._layer(ids, first)[-1].reshape(-1, DIM) @ self.out + self.bias
+        logits = self._layer(ids, first)[-1].reshape(-1, DIM) @ self.out
+        logits += self.bias
         np.clip(logits, -30, 30, out=logits)
         own = logits[np.arange(len(logits)), self.classes[target[:, first:].ravel()]]
         np.exp(logits, out=logits)
@@ -150,21 +148,24 @@ class Attention:
         logits += self.bias
         np.clip(logits, -30, 30, out=logits)
         np.exp(logits, out=logits)
-        logits *= 1 / (logits.sum(1, keepdims=True) * len(logits))
-        logits[np.arange(len(logits)), target.ravel()] -= 1 / len(logits)
-        g = {"bias": logits.sum(0), "out": y.reshape(-1, DIM).T @ logits}
+        n = len(logits)
+        logits /= logits @ np.full((logits.shape[1], 1), np.float32(n))
+        logits[np.arange(n), target.ravel()] -= 1 / n
+        g = {"bias": np.ones(n, np.float32) @ logits, "out": y.reshape(-1, DIM).T @ logits}
         dy = (logits @ self.out.T).reshape(y.shape)
         g["move"] = seen.reshape(-1, DIM).T @ dy.reshape(-1, DIM)
         dseen = dy @ self.move.T
         dp = dseen @ x.transpose(0, 2, 1)
-        dp -= (dp * p).sum(2, keepdims=True)
+        dp -= np.einsum("bij,bij->bi", dp, p)[:, :, None]
         dp *= p
         dasked = dp @ x
         g["match"] = x.reshape(-1, DIM).T @ dasked.reshape(-1, DIM)
-        dx = dy + p.transpose(0, 2, 1) @ dseen + dp.transpose(0, 2, 1) @ asked
+        dx = dy
+        dx += p.transpose(0, 2, 1) @ dseen
+        dx += dp.transpose(0, 2, 1) @ asked
         dx += dasked @ self.match.T
         g["place"] = dx.sum(0)
-        flat = ids.ravel()
+        flat = ids.ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
         touched, first = np.unique(flat[order], return_index=True)
         g["embed"] = np.add.reduceat(dx.reshape(-1, DIM)[order], first, axis=0)
@@ -178,12 +179,20 @@ class Attention:
             grads, touched = self._gradients(pick[:, :-1], self.classes[pick[:, 1:]])
             for n in self.NAMES:
                 at = touched if n == "embed" else slice(None)
-                m, v = mean[n][at], square[n][at]
-                m = m + np.float32(0.1) * (grads[n] - m)
-                v = v + np.float32(0.01) * (grads[n] ** 2 - v)
-                mean[n][at], square[n][at] = m, v
-                m, v = m / np.float32(1 - 0.9**step), v / np.float32(1 - 0.99**step)
-                getattr(self, n)[at] -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-6))
+                m, v, g = mean[n][at], square[n][at], grads[n]
+                m += 0.1 * (g - m)
+                g *= g
+                g -= v
+                g *= 0.01
+                v += g
+                if n == "embed":
+                    mean[n][at], square[n][at] = m, v
+                by = np.sqrt(v, out=g)
+                by *= (1 - 0.99**step) ** -0.5
+                by += 1e-6
+                np.divide(m, by, out=by)
+                by *= rate / (1 - 0.9**step)
+                getattr(self, n)[at] -= by
 
     def fit(self, windows: np.ndarray, seed: int = 2) -> None:
         """Adam on windows of ``LENGTH + 1`` ids."""
@@ -306,11 +315,11 @@ def _unpacked(data: pa.BinaryScalar, n: int, kind: type) -> np.ndarray:
     return np.frombuffer(pa.decompress(data.as_buffer(), size, codec="zstd"), kind)
 
 
-def _chunk_row(slices: list[tuple], number: int) -> pa.RecordBatch:
+def _chunk_row(slices: list[tuple], number: int, sub: Subwords) -> pa.RecordBatch:
     """A row of a chunk made of slices; its words are in the order of their frequency."""
-    doc_id, out, n_words, distinct, n, ids, each, tokens = zip(*slices)
+    doc_id, out, n_words, distinct, n, data, first, last, tokens = zip(*slices)
     start = np.cumsum([0, *map(len, distinct)])
-    each = np.concatenate(each)
+    base = np.repeat(np.cumsum([0, *map(len, data)])[:-1], np.diff(start))
     words, at, to = np.unique(np.concatenate(distinct), return_index=True, return_inverse=True)
     tokens = np.concatenate([to[s + t] for s, t in zip(start, tokens)])
     order = np.argsort(-np.bincount(tokens, minlength=len(words)), kind="stable")
@@ -318,7 +327,9 @@ def _chunk_row(slices: list[tuple], number: int) -> pa.RecordBatch:
     rank[order] = np.arange(len(words))
     trained = np.bincount(to, np.concatenate(n), len(words)).astype(np.int64)[order]
     at = at[order]
-    ids = np.concatenate(ids)[_spread((np.cumsum(each) - each)[at], each[at])]
+    ids, each = sub.of(
+        b"".join(data), (base + np.concatenate(first))[at], (base + np.concatenate(last))[at]
+    )
 
     def listed(values) -> pa.Array:
         return pa.array([values])
@@ -330,8 +341,8 @@ def _chunk_row(slices: list[tuple], number: int) -> pa.RecordBatch:
         listed(np.concatenate(n_words)),
         pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
         pa.array([trained], pa.list_(pa.int64())),
-        pa.array([_packed(each[at].astype(np.uint32))], pa.binary()),
-        pa.array([_packed(ids.astype(np.uint16))], pa.binary()),
+        pa.array([_packed(each.astype(np.uint32))], pa.binary()),
+        pa.array([_packed(ids)], pa.binary()),
         pa.array([_packed(rank[tokens])], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _CHUNK.split(", ")])
@@ -356,19 +367,19 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
                     found.hashes, return_index=True, return_inverse=True
                 )
                 n = np.bincount(inverse, ~out[low:high][found.doc], len(distinct))
-                ids, each = sub.of(distinct, found, first)
                 slices.append(
                     (
                         batch.column("doc_id")[low:high], out[low:high], found.per_doc(),
-                        distinct, n, ids.astype(np.uint16), each, inverse.astype(np.uint32),
+                        distinct, n, found.data.tobytes(), found.starts[first], found.ends[first],
+                        inverse.astype(np.uint32),
                     )
                 )
                 size += len(data)
                 if size >= CHUNK_BYTES:
-                    yield _chunk_row(slices, number)
+                    yield _chunk_row(slices, number, sub)
                     number, slices, size = number + 1, [], 0
         if slices:
-            yield _chunk_row(slices, number)
+            yield _chunk_row(slices, number, sub)
         shared.trim()
 
     made = docs.select("doc_id", "held_out", "text").mapInArrow(encode, _CHUNK)
@@ -420,7 +431,7 @@ class Chunk:
             yield _windows(sequence, lengths), sequence, lengths
 
     def picks(self, part: int, n: int) -> np.ndarray:
-        """Numbers below 2**63 that say in what order and pass windows are learnt from."""
+        """Numbers below 2**63 that draw windows, and put those of a part in order."""
         begin = mix(np.array([self.number, part], np.uint64)).sum()
         return mix(begin + np.arange(n, dtype=np.uint64)) >> np.uint64(1)
 
@@ -440,13 +451,16 @@ def _id_counts(encoded: DataFrame, sub: Subwords) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_ids, np.int64)
-        for chunk in _chunks(batches):
-            weights = np.repeat(chunk.trained, chunk.each)
-            total += np.bincount(chunk.ids, weights, n_ids).astype(np.int64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                n = batch["n"][row].values.to_numpy()
+                each = _unpacked(batch["each"][row], len(n), np.uint32)
+                ids = _unpacked(batch["ids"][row], int(each.sum()), np.uint16)
+                total += np.bincount(ids, np.repeat(n, each), n_ids).astype(np.int64)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    seen = encoded.select(*_READ).mapInArrow(count, "id long, n long")
+    seen = encoded.select("n", "each", "ids").mapInArrow(count, "id long, n long")
     seen = seen.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(n_ids)
     out[seen["id"].to_numpy()] = seen["n"].to_numpy()
@@ -459,15 +473,16 @@ def _surveyed(encoded: DataFrame, path: str, columns: np.ndarray, rate: float) -
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(path)
-        around = np.zeros(2 * sub.size * wide, np.int64)
+        around = np.zeros(2 * sub.size * wide, np.int32)
         for chunk in _chunks(batches):
             for part, (windows, sequence, lengths) in enumerate(chunk.windows(sub)):
                 inside = np.ones(len(sequence) - 1, bool)
                 inside[np.cumsum(lengths)[:-1] - 1] = False
                 before, after = sequence[:-1][inside], sequence[1:][inside]
+                pairs, n = np.unique(before * sub.size + after, return_counts=True)
+                before, after = np.divmod(pairs, sub.size)
                 for side, (a, b) in enumerate(((before, after), (after, before))):
-                    cells, n = np.unique(a * wide + columns[b], return_counts=True)
-                    around[side * sub.size * wide + cells] += n
+                    np.add.at(around, (side * sub.size + a) * wide + columns[b], n.astype(np.int32))
                 picks = chunk.picks(part, len(windows))
                 drawn = picks <= limit
                 n, raw = int(drawn.sum()), windows[drawn].astype(np.uint16)
@@ -482,18 +497,20 @@ def _surveyed(encoded: DataFrame, path: str, columns: np.ndarray, rate: float) -
         cells = np.flatnonzero(around)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(cells), pa.array(around[cells]),
+                pa.array(cells), pa.array(around[cells].astype(np.int64)),
                 pa.nulls(len(cells), pa.int64()), pa.nulls(len(cells), pa.binary()),
             ],
             ["cell", "n", "pick", "ids"],
         )
+        del around
+        shared.trim()
 
     made = encoded.select(*_READ).mapInArrow(survey, "cell long, n long, pick long, ids binary")
     return shared.stored(made, "survey")
 
 
-def _learn_pass(encoded: DataFrame, path: str, net: Attention, of: int) -> int:
-    """Learn from one pass's share of all windows; returns how many they are."""
+def _learn(encoded: DataFrame, path: str, net: Attention) -> int:
+    """Learn from all windows, each task from those of its chunks; returns how many they are."""
     sent = encoded.sparkSession.sparkContext.broadcast(net)
     values = [f"v{k}" for k in range(DIM)]
 
@@ -504,18 +521,16 @@ def _learn_pass(encoded: DataFrame, path: str, net: Attention, of: int) -> int:
         often = np.zeros(len(mine.embed))
         n = 0
 
-        def shares() -> Iterator[np.ndarray]:
+        def parts() -> Iterator[np.ndarray]:
             nonlocal n
             for chunk in _chunks(batches):
                 for part, (windows, *_) in enumerate(chunk.windows(sub)):
-                    picks = chunk.picks(part, len(windows))
-                    order = np.argsort(picks)
-                    windows = windows[order[picks[order] % np.uint64(PASSES) == of]]
+                    windows = windows[np.argsort(chunk.picks(part, len(windows)))]
                     often[:] += np.bincount(windows[:, :-1].ravel(), minlength=len(often))
                     n += len(windows)
                     yield windows
 
-        mine.learn(shares())
+        mine.learn(parts())
         rows = mine.rows()
         weight = np.full(len(rows), float(n))
         weight[: len(often)] = often
@@ -565,8 +580,7 @@ def _fitted(
     if sample.num_rows:
         ids = np.frombuffer(b"".join(sample["ids"].to_pylist()), np.uint16)
         net.fit(ids.astype(np.int64).reshape(-1, LENGTH + 1))
-        for of in range(PASSES):
-            _learn_pass(encoded, path, net, of)
+        _learn(encoded, path, net)
     return net
 
 
@@ -590,8 +604,8 @@ def _id_scores(model, sub: Subwords, ids: np.ndarray, lengths: np.ndarray):
     skip[len(first) :] = OVERLAP
     for low_skip in (0, OVERLAP):
         of = np.flatnonzero(skip == low_skip)
-        for k in range(0, len(of), 512):
-            w = of[k : k + 512]
+        for k in range(0, len(of), 128):
+            w = of[k : k + 128]
             at = begin[w][:, None] + np.arange(LENGTH)
             inside = at < stop[w][:, None]
             np.minimum(at, len(ids) - 1, out=at)
@@ -612,6 +626,7 @@ def _score(path: str, model, n_docs: int):
         chunk = Chunk(chunks, 0)
         count = np.zeros(len(chunk.trained), np.int64)
         count[words["at"].to_numpy()] = words["c"].to_numpy()
+        log_count = np.log10(count + 1.0)
         columns: list[list[np.ndarray]] = [[] for _ in range(4)]
         for low, high, tokens in chunk.parts():
             n = high - low
@@ -645,7 +660,8 @@ def _score(path: str, model, n_docs: int):
             mixed = np.logaddexp(np.log(1 - MIX) + own + after, np.log(MIX) + seen)
             columns[0].append(per_doc + 1)
             columns[1].append(np.bincount(doc, token_c > 0, n).astype(np.int64))
-            columns[2].append(np.bincount(doc, np.log10(token_c + 1.0), n))
+            base = np.bincount(doc_of, log_count[tokens], n) + np.log10(n_docs + 1.0)
+            columns[2].append(base)
             columns[3].append(np.bincount(doc, mixed, n) / np.log(10))
         n_tokens, n_known, base, total = map(np.concatenate, columns)
         # Words that this chunk counts for the vocabulary.
