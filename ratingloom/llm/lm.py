@@ -45,7 +45,7 @@ OVERLAP = 8
 DIM = 16
 START_CLASSES, GO_ON_CLASSES = 27, 36
 STEPS, BATCH, RATE = 700, 256, 0.01
-PASS_BATCH, PASS_RATE, SLOWER = 128, 0.003, 800
+PASS_BATCH, PASS_RATE, SLOWER = 256, 0.003, 400
 MIX = 0.85
 _WORDS = 50_000
 _SLICE = 1 << 21
@@ -114,7 +114,8 @@ class Attention:
         self.out, self.bias = near_zero(DIM, n), np.zeros(n, np.float32)
 
     def _layer(self, ids: np.ndarray, first: int = 0):
-        """The layer at each position from ``first`` on. Scores are kept small, so none overflows."""
+        """The layer at each position from ``first`` on. Scores are kept small, so none overflows;
+        weights of what is seen are not divided by their ``total``."""
         x = np.take(self.embed, ids, axis=0)
         x += self.place[: ids.shape[1]]
         asked = x[:, first:] @ self.match
@@ -122,9 +123,12 @@ class Attention:
         np.clip(p, -30, 30, out=p)
         np.exp(p, out=p)
         p *= np.tri(ids.shape[1], dtype=np.float32)[first:]
-        p /= p @ np.ones((ids.shape[1], 1), np.float32)
+        total = p @ np.ones((ids.shape[1], 1), np.float32)
         seen = p @ x
-        return x, asked, p, seen, x[:, first:] + seen @ self.move
+        seen /= total
+        y = seen @ self.move
+        y += x[:, first:]
+        return x, asked, p, total, seen, y
 
     def log_scores(
         self, ids: np.ndarray, target: np.ndarray, groups: np.ndarray, first: int
@@ -143,7 +147,7 @@ class Attention:
         self, ids: np.ndarray, target: np.ndarray
     ) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients, and the ids whose rows that of ``embed`` has: those of the batch."""
-        x, asked, p, seen, y = self._layer(ids)
+        x, asked, p, total, seen, y = self._layer(ids)
         logits = y.reshape(-1, DIM) @ self.out
         logits += self.bias
         np.clip(logits, -30, 30, out=logits)
@@ -155,8 +159,9 @@ class Attention:
         dy = (logits @ self.out.T).reshape(y.shape)
         g["move"] = seen.reshape(-1, DIM).T @ dy.reshape(-1, DIM)
         dseen = dy @ self.move.T
+        dseen /= total
         dp = dseen @ x.transpose(0, 2, 1)
-        dp -= np.einsum("bij,bij->bi", dp, p)[:, :, None]
+        dp -= np.einsum("bik,bik->bi", dseen, seen)[:, :, None]
         dp *= p
         dasked = dp @ x
         g["match"] = x.reshape(-1, DIM).T @ dasked.reshape(-1, DIM)
@@ -627,6 +632,13 @@ def _score(path: str, model, n_docs: int):
         count = np.zeros(len(chunk.trained), np.int64)
         count[words["at"].to_numpy()] = words["c"].to_numpy()
         log_count = np.log10(count + 1.0)
+
+        def log_share(counts, first_ids):
+            of_class = np.maximum(class_counts[net.classes[first_ids]], 1)
+            return np.log(np.maximum(counts / of_class, 1e-300))
+
+        word_share = log_share(count, chunk.ids[chunk.starts])
+        end_share = log_share(n_docs, sub.end)
         columns: list[list[np.ndarray]] = [[] for _ in range(4)]
         for low, high, tokens in chunk.parts():
             n = high - low
@@ -635,9 +647,7 @@ def _score(path: str, model, n_docs: int):
             doc_of = np.repeat(np.arange(n), per_doc)
             place = np.arange(len(tokens)) + doc_of
             ends = np.cumsum(per_doc + 1) - 1
-            token_c = np.empty(len(place) + n, np.int64)
-            token_c[place], token_c[ends] = count[tokens], n_docs
-            sizes = np.ones(len(token_c), np.int64)
+            sizes = np.ones(len(place) + n, np.int64)
             sizes[place] = chunk.each[tokens]
             sequence = np.empty(int(sizes.sum()), np.int64)
             token_at = np.cumsum(sizes) - sizes
@@ -654,12 +664,15 @@ def _score(path: str, model, n_docs: int):
             own = np.add.reduceat(log_id, token_at) - begins
             after = np.zeros(len(own))
             after[place] = log_start[token_at[place + 1]]
-            of_class = np.maximum(class_counts[net.classes[sequence[token_at]]], 1)
-            share = np.log(np.maximum(token_c / of_class, 1e-300))
-            seen = log_class[token_at] - begins + share
-            mixed = np.logaddexp(np.log(1 - MIX) + own + after, np.log(MIX) + seen)
+            share = np.full(len(own), end_share)
+            share[place] = word_share[tokens]
+            own += after + np.log(1 - MIX)
+            seen = log_class[token_at] - begins + share + np.log(MIX)
+            most = np.maximum(own, seen)
+            mixed = most + np.log(np.exp(own - most) + np.exp(seen - most))
             columns[0].append(per_doc + 1)
-            columns[1].append(np.bincount(doc, token_c > 0, n).astype(np.int64))
+            known = np.bincount(doc_of, count[tokens] > 0, n).astype(np.int64)
+            columns[1].append(known + (n_docs > 0))
             base = np.bincount(doc_of, log_count[tokens], n) + np.log10(n_docs + 1.0)
             columns[2].append(base)
             columns[3].append(np.bincount(doc, mixed, n) / np.log(10))
@@ -709,10 +722,12 @@ def score_texts(
         held_out(F.col("doc_id")).alias("held_out"),
     )
     encoded = _encoded(docs, vocabulary_path)
-    n_docs, n_words = encoded.agg(
-        F.coalesce(F.sum(F.size(F.filter("held_out", lambda h: ~h))), F.lit(0)),
-        F.coalesce(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, n: a + n)), F.lit(0)),
-    ).first()
+    rows = encoded.select(F.explode(F.arrays_zip("held_out", "n_words")).alias("of"))
+    n_docs, n_words = (
+        rows.filter("not of.held_out")
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("of.n_words"), F.lit(0)))
+        .first()
+    )
     n_train = n_words + n_docs
     sub = subwords(vocabulary_path)
     id_counts = _id_counts(encoded, sub)
