@@ -8,6 +8,7 @@ from ratingloom.operators.features import (
     mode_features,
     random_split,
     rating_features,
+    rating_vectors,
     train_test_split,
 )
 from ratingloom.plans import hot_keys
@@ -160,3 +161,31 @@ def test_key_split_is_fair_to_ids_in_steps(spark):
         "id * 10 as userId", "id % 7 * 100 as movieId", "1.0 as rating", "0L as timestamp"
     )
     assert 0.68 < train_test_split(rows).filter("is_train").count() / 20_000 < 0.72
+
+
+def test_vectors_of_packed_indicators_are_those_of_the_flat_features(spark, monkeypatch):
+    """Equal to assembling every column, for unseen, repeated, NULL and hot keys."""
+    items = spark.createDataFrame([*ITEMS, (None, "n", "War")], "movieId int, title string, genres string")
+    train = _ratings(spark, [(1, 1, 4.0), (1, 2, 1.0), (1, 2, 1.0), (2, 3, 3.0), (2, None, 5.0)])
+    test = _ratings(spark, [(u, m, 1.0) for u in (1, 7, None) for m in (1, 2, 3, 9, 11, None)])
+    for names in (["Crime", "War", "Drama"], None):
+        for part, fit_on in ((train, None), (test, train)):
+            for hot_rows in (1_000_000, 0):
+                more = {"hot_rows": hot_rows, "leave_one_out": fit_on is None}
+                flat = feature_vectors(rating_features(part, items, names, fit_on, **more))
+                packed = rating_vectors(part, items, names, fit_on, **more)
+                want = flat.select("movieId", "userId", "rating", "features").collect()
+                assert Counter(packed.collect()) == Counter(want)
+
+
+def test_vectors_without_any_genre(spark):
+    items = spark.createDataFrame([], "movieId int, title string, genres string")
+    found = rating_vectors(_ratings(spark, [(1, 1, 4.0), (1, 2, 2.0)]), items).collect()
+    assert {r.movieId: list(r.features) for r in found} == {1: [4, 2, 4, 3], 2: [2, 2, 2, 3]}
+
+
+def test_ratings_meet_one_column_of_indicators(spark):
+    items = spark.createDataFrame(ITEMS, "movieId int, title string, genres string")
+    found = rating_vectors(_ratings(spark, [(1, 1, 4.0)]), items, ["Crime", "War"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cold0___indicators" in plan and "__cold0_Crime" not in plan
