@@ -432,9 +432,15 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) ->
     kept = shared.stored(judged.filter(own).select(F.col("doc_id").alias("id")).distinct(), "kept")
     ids = docs.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
     again = shared.stored(ids.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "again")
+    # Most rows stay, so only those whose ids may be among the others are shuffled with their texts.
+    every = signed.filter("doc_id is not null").select(F.col("doc_id").alias("id"))
+    gone = every.join(kept, "id", "left_anti").unionByName(again.select("id"))
+    gone = shared.stored(gone.distinct(), "gone")
     rows = docs.select(shared.boxed(docs), F.col("doc_id").cast("long").alias("own"))
-    once = kept.join(again, "id", "left_anti")
-    stay = rows.join(once, F.col("own") == F.col("id"), "left_semi").select(*shared.unboxed(docs))
+    rows = rows.filter("own is not null")
+    doubtful = shared.may_be_among(gone, F.xxhash64("id"), F.xxhash64("own"))
+    checked = rows.filter(doubtful).join(gone, F.col("own") == F.col("id"), "left_anti")
+    stay = rows.filter(~doubtful).unionByName(checked).select(*shared.unboxed(docs))
     if not again.isEmpty():
         stay = stay.unionByName(_whole_rows(docs, kept.join(again, "id", "left_semi")))
     if not docs.filter("doc_id is null").isEmpty():

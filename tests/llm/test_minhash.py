@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.llm import minhash
+from ratingloom.llm import minhash, shared
 from ratingloom.llm.graph import components
 
 from .conftest import by_id, docs_frame
@@ -79,3 +79,35 @@ def test_components(spark, shape):
     real = [(a, b) for a, b in pairs if a is not None and a != b]
     want = groups({x for p in real for x in p}, real)
     assert {r.node: r.component for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_only_doubtful_rows_are_joined(spark, monkeypatch, bits):
+    """Rows whose ids are surely not among those that go pass by; a full bit map changes nothing."""
+    rng = random.Random(3)
+    texts = _family(rng, 20, 2) + [" ".join(f"y{i} {i}" for i in range(k, k + 30)) for k in range(0, 3000, 30)]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    rows += [(5, texts[-1], "en", "b", 0), (None, texts[-2], "en", "a", 0), (None, "", "en", "a", 0)]
+    docs = docs_frame(spark, rows).repartition(3)
+    asked, among = [], shared.may_be_among
+
+    def may_be_among(wanted, *columns):
+        asked.extend(r[0] for r in wanted.collect())
+        return among(wanted, *columns)
+
+    monkeypatch.setattr(shared, "FILTER_BITS", bits)
+    monkeypatch.setattr(shared, "may_be_among", may_be_among)
+    got = minhash.drop_near_duplicates(docs)
+    kept = {r.doc_id for r in minhash.near_duplicates(docs).collect() if r.kept}
+    found = [r.doc_id for r in got.collect()]
+    assert sorted(i for i in found if i is not None) == sorted(kept - {None})
+    assert found.count(None) == 1
+    assert set(asked) == (set(range(len(texts))) - kept) | {5}
+    assert 0 < len(asked) < len(texts) / 4 and len(kept) > 90
+
+
+def test_bit_map_in_sql_never_turns_away_what_is_wanted(spark):
+    ids = spark.range(0, 4000, 40)
+    asked = shared.may_be_among(ids, F.xxhash64("id"), F.xxhash64("id"))
+    passed = {r.id for r in spark.range(4000).filter(asked).collect()}
+    assert set(range(0, 4000, 40)) <= passed and len(passed) < 150
