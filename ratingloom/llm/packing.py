@@ -8,6 +8,7 @@ What is left at its end is cut into sequences whose lengths are powers of two, w
 padding. Only one slice of texts and one open sequence are held at a time.
 """
 
+import os
 import string
 import zlib
 from collections.abc import Iterator
@@ -20,15 +21,21 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ratingloom.llm import shared
-from ratingloom.llm.words import text_slices, words_of
+from ratingloom.llm.words import mix, text_slices, words_of
 
 LENGTH = 4096
 END_ID = 2
 DIMS = 4
 DIM_BITS = 10
 #: Words met lately whose ids a Python worker keeps, and at most as many older ones.
-_KEPT = 150_000
+_KEPT = 1 << 19
+#: A kept word has at most ``8 * _LANES`` bytes and ``_IDS`` ids.
+_LANES, _IDS = 3, 11
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _TOGETHER = 1000
+#: Bytes of text encoded at once; what a worker needs meanwhile is some 100 times as much.
+_SLICE = 1 << 19
 _SEQUENCES_PER_PARTITION = 1 << 32
 #: Documents drawn to cut the curve into ranges: for each range, and in all.
 _PER_RANGE = 200
@@ -162,13 +169,54 @@ def along_curve(docs: DataFrame) -> DataFrame:
     )
 
 
+class _Kept:
+    """Words and their ids, each in the slot its hash gives; a word there before makes room.
+
+    A word's bytes are kept in ``_LANES`` integers and compared whole, so no two are confused.
+    Words of more bytes, or of more than ``_IDS`` ids, are not kept.
+    """
+
+    def __init__(self, slots: int, kind: np.dtype):
+        self.length = np.zeros(slots, np.uint8)
+        self.lanes = [np.zeros(slots, np.uint64) for _ in range(_LANES)]
+        self.counts = np.zeros(slots, np.uint8)
+        self.ids = np.zeros((slots, _IDS), kind)
+
+    def __len__(self) -> int:
+        return int(np.count_nonzero(self.length))
+
+    def holds(self, slot: np.ndarray, length: np.ndarray, lanes: list[np.ndarray]) -> np.ndarray:
+        """Which words are in their slots."""
+        same = (self.length[slot] == length) & (self.lanes[0][slot] == lanes[0])
+        for k in range(1, _LANES):
+            more = np.flatnonzero(same & (length > 8 * k))
+            same[more] = self.lanes[k][slot[more]] == lanes[k][more]
+        return same
+
+    def columns(self) -> list[np.ndarray]:
+        return [self.length, *self.lanes, self.counts, self.ids]
+
+
+def _lanes(data: bytes, starts: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """The first ``8 * _LANES`` bytes of words as integers, with zeros after a word's end."""
+    size = len(data) - 7
+    at_byte = np.ndarray((size,), "<u8", data, strides=(1,))
+    lanes = []
+    for k in range(_LANES):
+        lane = np.zeros(len(starts), np.uint64)
+        some = np.flatnonzero(length > 8 * k) if k else slice(None)
+        lane[some] = at_byte[starts[some] + 8 * k] & _FIRST[np.minimum(length[some] - 8 * k, 8)]
+        lanes.append(lane)
+    return lanes
+
+
 class WordTokens:
     """Token ids of words as bytes of unsigned 32-bit little-endian integers.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
     words. Words are encoded once while they are kept: those of letters only many at a time,
-    told apart by the marks that end words in the vocabulary. Kept are the words met since the
-    last time there were too many, and those of the time before.
+    told apart by the marks that end words in the vocabulary. Of the words of one slot, the last
+    met is in ``known`` and the one before in ``older``.
 
     A text that holds one of the tokenizer's added tokens, which are matched before anything else,
     is encoded whole.
@@ -182,8 +230,9 @@ class WordTokens:
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.slots = 1 << (_KEPT - 1).bit_length()
+        kind = np.min_scalar_type(len(self.last))
+        self.known, self.older = _Kept(self.slots, kind), _Kept(self.slots, kind)
         self.marks = {c: self._single([c])[0] for c in string.punctuation}
 
     def _single(self, words: list[str]) -> list[bytes]:
@@ -205,28 +254,38 @@ class WordTokens:
             out += [raw[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words - self.known.keys()
-        if len(self.known) + len(new) > _KEPT:
-            self.known, self.older, new = {}, self.known, words
-        if self.older:
-            again = new & self.older.keys()
-            self.known.update((word, self.older[word]) for word in again)
-            new = new - again
-        letters: dict[str, list[tuple[bytes, bytes]]] = {}
-        other: list[bytes] = []
-        for word in new:
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        out = [b""] * len(words)
+        letters: dict[str, list[tuple[int, bytes]]] = {}
+        other: list[tuple[int, str]] = []
+        for i, word in enumerate(words):
             text = word.decode()
             if text.isalpha():
-                letters.setdefault(text, []).append((word, b""))
+                letters.setdefault(text, []).append((i, b""))
             elif text[-1] in self.marks and text[:-1].isalpha():
-                letters.setdefault(text[:-1], []).append((word, self.marks[text[-1]]))
+                letters.setdefault(text[:-1], []).append((i, self.marks[text[-1]]))
             else:
-                other.append(word)
+                other.append((i, text))
         for text, ids in zip(letters, self._letters(list(letters))):
-            for word, mark in letters[text]:
-                self.known[word] = ids + mark
-        self.known.update(zip(other, self._single([w.decode() for w in other])))
+            for i, mark in letters[text]:
+                out[i] = ids + mark
+        for (i, _), ids in zip(other, self._single([text for _, text in other])):
+            out[i] = ids
+        return out
+
+    def _keep(self, slot, length, lanes, counts, first, flat) -> None:
+        """Put new words, whose ids are ``flat``, into their slots; what was there becomes older."""
+        able = np.flatnonzero((length <= 8 * _LANES) & (counts <= _IDS))
+        slot, one = np.unique(slot[able], return_index=True)
+        able = able[one]
+        used = np.arange(_IDS) < counts[able, None]
+        ids = np.zeros(used.shape, self.known.ids.dtype)
+        ids[used] = flat[_spread(first[able], counts[able])]
+        new = [length[able], *(lane[able] for lane in lanes), counts[able], ids]
+        for known, older, column in zip(self.known.columns(), self.older.columns(), new):
+            older[slot] = known[slot]
+            known[slot] = column
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of texts."""
@@ -236,22 +295,63 @@ class WordTokens:
             for i, text in enumerate(texts)
             if token in text
         }
-        split = [[] if i in whole else text.lower().split() for i, text in enumerate(texts)]
-        self.learn(set().union(*split))
-        known = self.known
-        out = [b"".join([known[w] for w in words]) for words in split]
         if whole:
+            plain = self.encode([b"" if i in whole else text for i, text in enumerate(texts)])
             self.tokenizer.encode_special_tokens = False
             for i in whole:
-                out[i] = self._single([texts[i].decode()])[0]
+                plain[i] = self._single([texts[i].decode()])[0]
             self.tokenizer.encode_special_tokens = True
-        return out
+            return plain
+        offsets = np.cumsum([0, *map(len, texts)])
+        found = words_of(np.frombuffer(b"".join(texts), np.uint8), offsets, with_hashes=False)
+        starts, length = found.starts, found.ends - found.starts
+        raw = found.data.tobytes() + bytes(8 * _LANES)
+        lanes = _lanes(raw, starts, length)
+        slot = mix(sum(lane * odd for lane, odd in zip(lanes, _ODD)) + length.astype(np.uint64))
+        slot = (slot & np.uint64(self.slots - 1)).astype(np.int64)
+        counts = np.zeros(len(starts), np.int64)
+        sources: list[tuple[np.ndarray, np.ndarray]] = []
+        left = np.arange(len(starts))
+        for kept in (self.known, self.older):
+            hit = kept.holds(slot[left], length[left], [lane[left] for lane in lanes])
+            of, left = left[hit], left[~hit]
+            counts[of] = n = kept.counts[slot[of]]
+            sources.append((of, kept.ids[slot[of]][np.arange(_IDS) < n[:, None]]))
+        number: dict[bytes, int] = {}
+        spans = zip(starts[left].tolist(), found.ends[left].tolist())
+        which = np.array([number.setdefault(raw[a:b], len(number)) for a, b in spans], np.int64)
+        new = self._words(list(number))
+        sizes = np.array([len(ids) // 4 for ids in new], np.int64)
+        first, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(new), "<u4")
+        counts[left] = sizes[which]
+        sources.append((left, flat[_spread(first[which], sizes[which])]))
+        if len(left):
+            _, one = np.unique(which, return_index=True)
+            one = left[one]
+            self._keep(slot[one], length[one], [lane[one] for lane in lanes], sizes, first, flat)
+        out = np.empty(int(counts.sum()), "<u4")
+        for of, ids in sources:
+            mine = np.zeros(len(starts), bool)
+            mine[of] = True
+            out[np.repeat(mine, counts)] = ids
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        cuts = 4 * ends[np.concatenate(([0], np.cumsum(found.per_doc())))]
+        joined, cuts = out.tobytes(), cuts.tolist()
+        return [joined[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of runs that begin at ``starts`` and have ``counts`` items, end to end."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def word_tokens(path: str) -> WordTokens:
     """The tokenizer of a file, loaded once in a Python worker."""
     held = shared.only("packing")
     if path not in held:
+        # A task has one core; threads for all of a machine's cores cost time and memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         held[path] = WordTokens(path)
     return held[path]
 
@@ -315,7 +415,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for low, high, data, offsets in text_slices(batch.column(1)):
+            for low, high, data, offsets in text_slices(batch.column(1), _SLICE):
                 raw = data.tobytes()
                 at = offsets.tolist()
                 texts = [raw[a:b] for a, b in zip(at, at[1:])]

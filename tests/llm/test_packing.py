@@ -88,3 +88,38 @@ def test_hilbert_neighbours_are_adjacent():
     assert sorted(index) == list(range(512))
     walk = grid[np.argsort(index)]
     assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()
+
+
+def test_words_of_many_bytes_or_ids_and_zeros(monkeypatch):
+    """Words that differ only where a kept word is cut or filled up have their own ids."""
+    monkeypatch.setattr(packing, "_KEPT", 4)
+    tokens, want = packing.WordTokens(PATH), packing.Tokenizer.from_file(PATH)
+    words = ["ab", "ab\0", "ab\0\0", "x" * 24, "x" * 25, "x" * 40, "é" * 12, "é" * 13, "中文" * 9, "qzj" * 8]
+    texts = [" ".join(words), *words, " ".join(words[::-1]), ""]
+    for _ in range(3):
+        for text, ids in zip(texts, tokens.encode([t.encode() for t in texts])):
+            plain = want.encode(text, add_special_tokens=False).ids
+            assert ids == np.array(plain, "<u4").tobytes()
+
+
+def test_many_words_are_kept():
+    """Of 350,000 words, met in turn, few are encoded again the next time."""
+    tokens = packing.WordTokens(PATH)
+    encoded = 0
+    plain = tokens.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **given):
+            nonlocal encoded
+            encoded += sum(len(t.split()) for t in texts)
+            return plain.encode_batch_fast(texts, **given)
+
+    tokens.tokenizer = Counting()
+    letters = np.array(list("etaoinshrdlu"))
+    digits = (np.arange(350_000)[:, None] // 12 ** np.arange(6)) % 12
+    words = ["".join(w) for w in letters[digits]]
+    texts = [" ".join(words[k : k + 10_000]).encode() for k in range(0, len(words), 10_000)]
+    first = [tokens.encode([text]) for text in texts]
+    assert encoded == len(words)
+    assert [tokens.encode([text]) for text in texts] == first
+    assert encoded < 1.3 * len(words)
