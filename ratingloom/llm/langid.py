@@ -24,7 +24,8 @@ from ratingloom.llm.words import Words, byte_hashes, span_hashes, text_slices, w
 UNKNOWN = "und"
 #: Expected counts are smoothed by so many counts spread as the pieces of all languages are.
 SMOOTHING = 1000.0
-_SLICE = 1 << 21
+#: Bytes of text looked at together; a worker needs some 50 times as much meanwhile.
+_SLICE = 1 << 20
 _PENDING = 100_000
 _KEPT = 300_000
 _BITS = 21
@@ -165,9 +166,9 @@ def expected_counts(
                 share_all.append(alpha[begin] * step)
         ids = np.concatenate(ids_all)
         share = np.concatenate(share_all)
-        weight = np.tile(weights[of], (len(ids_all), 1))
         for k in range(n_out):
-            use = share[:, min(k, share.shape[1] - 1)] * weight[:, k]
+            weight = np.tile(weights[of, k], len(ids_all))
+            use = share[:, min(k, share.shape[1] - 1)] * weight
             out[:, k] += np.bincount(ids, use, pieces.n + 1)
     return out[:-1]
 

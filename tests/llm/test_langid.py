@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ratingloom.llm import langid
@@ -68,3 +70,21 @@ def test_odd_rows(odd, none, spark):
     assert langid.identify(none, PATH).isEmpty()
     untrained = langid.identify(docs_frame(spark, [(1, "some text", None, "a", 0)]), PATH)
     assert [(r.lang_pred, r.score) for r in untrained.collect()] == [("und", 0.0)]
+
+
+def test_a_task_needs_little_memory_besides_its_texts():
+    vocab = langid.vocabulary(PATH)
+    pieces = langid.Pieces(vocab)
+    table = np.vstack((np.full((len(vocab), 8), 1.0 / len(vocab)), np.zeros(8)))
+    texts = pa.array([" ".join(f"w{i % 50}x{i % 7}" for i in range(k, k + 400)) for k in range(3000)])
+    words = [b"thenonndtion%d" % i for i in range(5000)]
+    scores = langid._Scores(pieces, table)
+    tracemalloc.start()
+    for _, _, data, offsets in langid.text_slices(texts, langid._SLICE):
+        scores.of(langid.words_of(data, offsets))
+    slices = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    langid.expected_counts(pieces, table[:, :1], words, np.ones((5000, 8)))
+    counts = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert slices < 90e6 and counts < 45e6
