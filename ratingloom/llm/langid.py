@@ -319,6 +319,7 @@ def identify(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     shared.ship(spark)
+    shared.small_batches(spark)
     docs = docs.select(
         F.col("doc_id").cast("long"),
         F.col("text").cast("string"),

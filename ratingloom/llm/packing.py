@@ -409,6 +409,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFram
     packed each. A null doc_id stays null. Other columns of ``docs`` are not looked at.
     """
     shared.ship(docs.sparkSession)
+    shared.small_batches(docs.sparkSession)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = word_tokens(tokenizer_path), _Packer(length)
