@@ -12,7 +12,7 @@ the class of the word's first id, as the layer predicts it, times the word's sha
 tokens that begin with that class. ``MIX`` is the weight of the latter. Both sum to at most one
 over all words.
 
-Texts are cut into words and ids once. Each task lays its documents in chunks of bounded size, a
+Texts are cut into words and ids once; a worker keeps the ids of a bounded number of words. Each task lays its documents in chunks of bounded size, a
 row with its distinct words, their ids and the sequence of its words, and all later passes read
 these rows. Counts and the contexts that make the classes cover all training documents. The layer
 starts from a fit on at most ``start_windows`` windows, drawn by chunk and position, and then
@@ -21,12 +21,12 @@ from the same weights as the others, and the layer is a weighted mean of what th
 id's row weighs by how often a task has it.
 
 Word counts may outgrow any machine. Each chunk's distinct words are summed with all others', and
-their counts come back to the chunk by a join, so a word travels once for a chunk and not once for
-a document, and adaptive execution can split a word that all chunks have.
+the counts of those that several chunks have come back to them by a join, so a word travels once
+for a chunk and not once for a document, and adaptive execution can split a word that all have.
 """
 
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,7 @@ STEPS, BATCH, RATE = 700, 256, 0.01
 PASS_BATCH, PASS_RATE, SLOWER = 256, 0.003, 400
 MIX = 0.85
 _WORDS = 50_000
+_SLOTS, _KEPT_IDS = 1 << 20, 8
 _SLICE = 1 << 21
 _TOKENS = 300_000
 _CONTEXTS = 256
@@ -70,14 +71,54 @@ class Subwords:
 
     def of(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words that lie in ``data``, end to end, and how many each has."""
-        ids, counts = array("H"), []
+        ids, counts = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
         for k in range(0, len(starts), _WORDS):
             spans = zip(starts[k : k + _WORDS].tolist(), ends[k : k + _WORDS].tolist())
-            found = self.model.encode([data[a:b].decode() for a, b in spans], num_threads=1)
-            for one in found:
-                ids.extend(one or (self.blank,))
-            counts += [len(one) or 1 for one in found]
-        return np.array(ids, np.uint16), np.array(counts, np.int64)
+            found = self.model.encode([data[a:b] for a, b in spans], num_threads=1)
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            for i in np.flatnonzero(n == 0).tolist():
+                found[i], n[i] = (self.blank,), 1
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint16, int(n.sum())))
+            counts.append(n)
+        return np.concatenate(ids), np.concatenate(counts)
+
+
+class KeptIds:
+    """Ids of words met before, each in the slot that its hash gives; the first to come stays.
+
+    Within a chunk and in all counts, too, a word is its 64-bit hash. A word of more than
+    ``_KEPT_IDS`` ids is not kept.
+    """
+
+    def __init__(self, sub: Subwords, slots: int = _SLOTS):
+        self.sub, self.slots = sub, np.uint64(slots)
+        self.words, self.n = np.zeros(slots, np.uint64), np.zeros(slots, np.uint8)
+        self.ids = np.zeros((slots, _KEPT_IDS), np.uint16)
+
+    def of(
+        self, words: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Subwords.of``, for distinct words with these hashes, the more frequent first."""
+        slot = (words % self.slots).astype(np.int64)
+        n = self.n[slot]
+        met = (n > 0) & (self.words[slot] == words)
+        new = np.flatnonzero(~met)
+        ids, counts = self.sub.of(data, starts[new], ends[new])
+        each = n.astype(np.int64)
+        each[new] = counts
+        out = np.empty(int(each.sum()), np.uint16)
+        cut = np.repeat(~met, each)
+        out[cut] = ids
+        out[~cut] = self.ids[slot[met]][np.arange(_KEPT_IDS) < n[met, None]]
+        able = np.flatnonzero((n[new] == 0) & (counts <= _KEPT_IDS))
+        free, first = np.unique(slot[new[able]], return_index=True)
+        able = able[first]
+        rows = np.zeros((len(able), _KEPT_IDS), np.uint16)
+        rows[np.arange(_KEPT_IDS) < counts[able, None]] = ids[
+            _spread((np.cumsum(counts) - counts)[able], counts[able])
+        ]
+        self.words[free], self.n[free], self.ids[free] = words[new[able]], counts[able], rows
+        return out, each
 
 
 _subwords: dict[str, Subwords] = {}
@@ -91,9 +132,25 @@ def subwords(path: str) -> Subwords:
 
 def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Positions of runs that begin at ``starts`` and have ``counts`` items, end to end."""
+    at = np.repeat(starts - (np.cumsum(counts) - counts), counts)
+    at += np.arange(len(at))
+    return at
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``_spread`` where no run is empty: a sum of steps, faster than repeating."""
+    if not len(counts):
+        return np.zeros(0, np.int32)
     ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - counts), counts) + np.arange(total)
+    steps = np.ones(int(ends[-1]), np.int32)
+    steps[0] = starts[0]
+    steps[ends[:-1]] = starts[1:] - (starts[:-1] + counts[:-1] - 1)
+    return np.cumsum(steps, out=steps)
+
+
+def _times(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The last axis times a matrix, in one product and not one for each window."""
+    return (rows.reshape(-1, len(weights)) @ weights).reshape(*rows.shape[:-1], -1)
 
 
 class Attention:
@@ -118,7 +175,7 @@ class Attention:
         weights of what is seen are not divided by their ``total``."""
         x = np.take(self.embed, ids, axis=0)
         x += self.place[: ids.shape[1]]
-        asked = x[:, first:] @ self.match
+        asked = _times(x[:, first:], self.match)
         p = asked @ x.transpose(0, 2, 1)
         np.clip(p, -30, 30, out=p)
         np.exp(p, out=p)
@@ -126,7 +183,7 @@ class Attention:
         total = p @ np.ones((ids.shape[1], 1), np.float32)
         seen = p @ x
         seen /= total
-        y = seen @ self.move
+        y = _times(seen, self.move)
         y += x[:, first:]
         return x, asked, p, total, seen, y
 
@@ -135,30 +192,40 @@ class Attention:
     ) -> tuple[np.ndarray, np.ndarray]:
         """At each position from ``first`` on: log probability of the class of ``target``, and of
         the classes that ``groups`` marks."""
-        logits = self._layer(ids, first)[-1].reshape(-1, DIM) @ self.out
-        logits += self.bias
-        np.clip(logits, -30, 30, out=logits)
-        own = logits[np.arange(len(logits)), self.classes[target[:, first:].ravel()]]
-        np.exp(logits, out=logits)
-        sums = np.log(logits @ np.stack((np.ones_like(groups), groups), 1))
+        e = _times(self._layer(ids, first)[-1], self.out).reshape(-1, len(self.bias))
+        np.clip(e, -30, 30, out=e)
+        classes = np.take(self.classes, target[:, first:].ravel())
+        own = np.take(e, np.arange(0, e.size, e.shape[1]) + classes)
+        own += np.take(self.bias, classes)
+        np.exp(e, out=e)
+        by_class = np.exp(self.bias)
+        sums = np.log(e @ np.stack((by_class, by_class * groups), 1))
         return own - sums[:, 0], sums[:, 1] - sums[:, 0]
 
     def _gradients(
         self, ids: np.ndarray, target: np.ndarray
     ) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """Gradients, and the ids whose rows that of ``embed`` has: those of the batch."""
+        """Gradients, and the ids whose rows that of ``embed`` has: those of the batch.
+
+        What is a factor of a class or of a position stays out of the large array of both.
+        """
         x, asked, p, total, seen, y = self._layer(ids)
-        logits = y.reshape(-1, DIM) @ self.out
-        logits += self.bias
-        np.clip(logits, -30, 30, out=logits)
-        np.exp(logits, out=logits)
-        n = len(logits)
-        logits /= logits @ np.full((logits.shape[1], 1), np.float32(n))
-        logits[np.arange(n), target.ravel()] -= 1 / n
-        g = {"bias": np.ones(n, np.float32) @ logits, "out": y.reshape(-1, DIM).T @ logits}
-        dy = (logits @ self.out.T).reshape(y.shape)
+        rows, target = y.reshape(-1, DIM), target.ravel()
+        n = len(rows)
+        e = rows @ self.out
+        np.clip(e, -30, 30, out=e)
+        np.exp(e, out=e)
+        by_class = np.exp(self.bias)
+        by = e @ by_class
+        e.ravel()[np.arange(0, e.size, e.shape[1]) + target] -= by / np.take(by_class, target)
+        by *= n
+        np.divide(1, by, out=by)
+        dy = (e @ (self.out * by_class).T).reshape(y.shape)
+        dy *= by.reshape(*y.shape[:2], 1)
+        rows *= by[:, None]
+        g = {"bias": by @ e * by_class, "out": (e.T @ rows).T * by_class}
         g["move"] = seen.reshape(-1, DIM).T @ dy.reshape(-1, DIM)
-        dseen = dy @ self.move.T
+        dseen = _times(dy, self.move.T)
         dseen /= total
         dp = dseen @ x.transpose(0, 2, 1)
         dp -= np.einsum("bik,bik->bi", dseen, seen)[:, :, None]
@@ -168,13 +235,14 @@ class Attention:
         dx = dy
         dx += p.transpose(0, 2, 1) @ dseen
         dx += dp.transpose(0, 2, 1) @ asked
-        dx += dasked @ self.match.T
+        dx += _times(dasked, self.match.T)
         g["place"] = dx.sum(0)
         flat = ids.ravel().astype(np.uint16)
         order = np.argsort(flat, kind="stable")
-        touched, first = np.unique(flat[order], return_index=True)
-        g["embed"] = np.add.reduceat(dx.reshape(-1, DIM)[order], first, axis=0)
-        return g, touched
+        flat = np.take(flat, order)
+        first = np.flatnonzero(np.diff(flat, prepend=flat[0] + 1))
+        g["embed"] = np.add.reduceat(np.take(dx.reshape(-1, DIM), order, axis=0), first, axis=0)
+        return g, np.take(flat, first)
 
     def _adam(self, batches: Iterator[tuple[np.ndarray, float]]) -> None:
         """Adam; of ``embed``, a step moves the rows of its batch alone."""
@@ -293,7 +361,9 @@ def _windows(sequence: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     first = np.cumsum(lengths) - lengths
     full = (lengths - 1) // LENGTH
     at = np.repeat(first, full) + _spread(np.zeros(len(full), np.int64), full) * LENGTH
-    whole = sequence[at[:, None] + np.arange(LENGTH + 1)]
+    whole = np.zeros((0, LENGTH + 1), sequence.dtype)
+    if len(at):
+        whole = np.lib.stride_tricks.sliding_window_view(sequence, LENGTH + 1)[at]
     left = lengths - full * LENGTH
     left[left == 1] = 0
     rest = _spread(first + full * LENGTH, left)
@@ -320,7 +390,7 @@ def _unpacked(data: pa.BinaryScalar, n: int, kind: type) -> np.ndarray:
     return np.frombuffer(pa.decompress(data.as_buffer(), size, codec="zstd"), kind)
 
 
-def _chunk_row(slices: list[tuple], number: int, sub: Subwords) -> pa.RecordBatch:
+def _chunk_row(slices: list[tuple], number: int, kept: KeptIds) -> pa.RecordBatch:
     """A row of a chunk made of slices; its words are in the order of their frequency."""
     doc_id, out, n_words, distinct, n, data, first, last, tokens = zip(*slices)
     start = np.cumsum([0, *map(len, distinct)])
@@ -331,10 +401,9 @@ def _chunk_row(slices: list[tuple], number: int, sub: Subwords) -> pa.RecordBatc
     rank = np.empty(len(words), np.uint32)
     rank[order] = np.arange(len(words))
     trained = np.bincount(to, np.concatenate(n), len(words)).astype(np.int64)[order]
-    at = at[order]
-    ids, each = sub.of(
-        b"".join(data), (base + np.concatenate(first))[at], (base + np.concatenate(last))[at]
-    )
+    words, at = words[order], at[order]
+    first, last = ((base + np.concatenate(edge))[at] for edge in (first, last))
+    ids, each = kept.of(words, b"".join(data), first, last)
 
     def listed(values) -> pa.Array:
         return pa.array([values])
@@ -344,7 +413,7 @@ def _chunk_row(slices: list[tuple], number: int, sub: Subwords) -> pa.RecordBatc
         pa.ListArray.from_arrays([0, sum(map(len, doc_id))], pa.concat_arrays(doc_id)),
         listed(np.concatenate(out)),
         listed(np.concatenate(n_words)),
-        pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
+        pa.array([words.view(np.int64)], pa.list_(pa.int64())),
         pa.array([trained], pa.list_(pa.int64())),
         pa.array([_packed(each.astype(np.uint32))], pa.binary()),
         pa.array([_packed(ids)], pa.binary()),
@@ -361,7 +430,10 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = subwords(path)
+        held = shared.only("lm encoding")
+        if path not in held:
+            held[path] = KeptIds(subwords(path))
+        kept = held[path]
         number = TaskContext.get().partitionId() << 32
         slices, size = [], 0
         for batch in batches:
@@ -381,10 +453,10 @@ def _encoded(docs: DataFrame, path: str) -> DataFrame:
                 )
                 size += len(data)
                 if size >= CHUNK_BYTES:
-                    yield _chunk_row(slices, number, sub)
+                    yield _chunk_row(slices, number, kept)
                     number, slices, size = number + 1, [], 0
         if slices:
-            yield _chunk_row(slices, number, sub)
+            yield _chunk_row(slices, number, kept)
         shared.trim()
 
     made = docs.select("doc_id", "held_out", "text").mapInArrow(encode, _CHUNK)
@@ -403,7 +475,7 @@ class Chunk:
         self.trained = n
         self.each = _unpacked(table["each"][row], len(n), np.uint32).astype(np.int64)
         self.starts = np.cumsum(self.each) - self.each
-        self.ids = _unpacked(table["ids"][row], int(self.each.sum()), np.uint16).astype(np.int64)
+        self.ids = _unpacked(table["ids"][row], int(self.each.sum()), np.uint16)
         self.tokens = _unpacked(table["tokens"][row], int(self.n_words.sum()), np.uint32)
 
     def parts(self) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -428,10 +500,10 @@ class Chunk:
                 np.repeat(np.arange(len(n_words)), n_words), each, len(n_words)
             ).astype(np.int64)
             first = np.cumsum(lengths) - lengths
-            sequence = np.empty(int(lengths.sum()), np.int64)
+            sequence = np.empty(int(lengths.sum()), np.uint16)
             inner = np.ones(len(sequence), bool)
             inner[first] = inner[first + lengths - 1] = False
-            sequence[inner] = self.ids[_spread(self.starts[tokens], each)]
+            sequence[inner] = np.take(self.ids, _runs(self.starts[tokens], each))
             sequence[first], sequence[first + lengths - 1] = sub.begin, sub.end
             yield _windows(sequence, lengths), sequence, lengths
 
@@ -442,6 +514,7 @@ class Chunk:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
+    shared.only("lm")
     for batch in batches:
         for row in range(batch.num_rows):
             yield Chunk(batch, row)
@@ -483,14 +556,13 @@ def _surveyed(encoded: DataFrame, path: str, columns: np.ndarray, rate: float) -
             for part, (windows, sequence, lengths) in enumerate(chunk.windows(sub)):
                 inside = np.ones(len(sequence) - 1, bool)
                 inside[np.cumsum(lengths)[:-1] - 1] = False
-                before, after = sequence[:-1][inside], sequence[1:][inside]
-                pairs, n = np.unique(before * sub.size + after, return_counts=True)
-                before, after = np.divmod(pairs, sub.size)
+                pairs = (s[inside].astype(np.int64) for s in (sequence[:-1], sequence[1:]))
+                before, after = pairs
                 for side, (a, b) in enumerate(((before, after), (after, before))):
-                    np.add.at(around, (side * sub.size + a) * wide + columns[b], n.astype(np.int32))
+                    np.add.at(around, (side * sub.size + a) * wide + columns[b], np.int32(1))
                 picks = chunk.picks(part, len(windows))
                 drawn = picks <= limit
-                n, raw = int(drawn.sum()), windows[drawn].astype(np.uint16)
+                n, raw = int(drawn.sum()), windows[drawn]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
@@ -625,12 +697,16 @@ def _score(path: str, model, n_docs: int):
     """Scores of a chunk's documents, given the counts of its words."""
 
     def score(chunks: pa.Table, words: pa.Table) -> pa.Table:
+        shared.only("lm")
         sub, (net, within, class_counts) = subwords(path), model.value
         starting = np.zeros(int(net.classes.max()) + 1, np.float32)
         starting[: START_CLASSES + 1] = 1.0
         chunk = Chunk(chunks, 0)
-        count = np.zeros(len(chunk.trained), np.int64)
+        # Words that came back are in other chunks too; of the others the chunk has all.
+        count = chunk.trained.copy()
+        mine = count > 0
         count[words["at"].to_numpy()] = words["c"].to_numpy()
+        mine[words["at"].to_numpy()] = words["mine"].to_numpy(zero_copy_only=False)
         log_count = np.log10(count + 1.0)
 
         def log_share(counts, first_ids):
@@ -649,11 +725,11 @@ def _score(path: str, model, n_docs: int):
             ends = np.cumsum(per_doc + 1) - 1
             sizes = np.ones(len(place) + n, np.int64)
             sizes[place] = chunk.each[tokens]
-            sequence = np.empty(int(sizes.sum()), np.int64)
+            sequence = np.empty(int(sizes.sum()), np.uint16)
             token_at = np.cumsum(sizes) - sizes
-            sequence[_spread(token_at[place], sizes[place])] = chunk.ids[
-                _spread(chunk.starts[tokens], sizes[place])
-            ]
+            inner = np.ones(len(sequence), bool)
+            inner[token_at[ends]] = False
+            sequence[inner] = np.take(chunk.ids, _runs(chunk.starts[tokens], sizes[place]))
             sequence[token_at[ends]] = sub.end
             doc = np.repeat(np.arange(n), per_doc + 1)
             lengths = np.bincount(doc, sizes, n).astype(np.int64)
@@ -668,8 +744,7 @@ def _score(path: str, model, n_docs: int):
             share[place] = word_share[tokens]
             own += after + np.log(1 - MIX)
             seen = log_class[token_at] - begins + share + np.log(MIX)
-            most = np.maximum(own, seen)
-            mixed = most + np.log(np.exp(own - most) + np.exp(seen - most))
+            mixed = np.maximum(own, seen) + np.log1p(np.exp(-np.abs(own - seen)))
             columns[0].append(per_doc + 1)
             known = np.bincount(doc_of, count[tokens] > 0, n).astype(np.int64)
             columns[1].append(known + (n_docs > 0))
@@ -679,7 +754,7 @@ def _score(path: str, model, n_docs: int):
         n_tokens, n_known, base, total = map(np.concatenate, columns)
         # Words that this chunk counts for the vocabulary.
         distinct = np.zeros(len(n_tokens), np.int64)
-        distinct[0] = int(words["mine"].to_numpy(zero_copy_only=False).sum())
+        distinct[0] = int(mine.sum())
         ids = chunks["doc_id"][0].values
         return pa.table(
             [ids, chunk.held_out, n_tokens, n_known, base, total, distinct], schema=_SCORED
@@ -739,11 +814,14 @@ def score_texts(
     class_counts = np.bincount(classes, id_counts)
     model = spark.sparkContext.broadcast((net, _within(classes, id_counts), class_counts))
 
-    own = encoded.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "of"))
-    own = own.select(F.col("chunk").alias("to"), "at", F.col("of.words").alias("word"), F.col("of.n").alias("n"))
-    sums = own.groupBy("word").agg(
-        F.sum("n").alias("c"), F.min("to").alias("owner")
-    ).filter("c > 0")
+    own = encoded.select(F.col("chunk").alias("to"), "n", F.posexplode("words").alias("at", "word"))
+    own = own.withColumn("n", F.get("n", "at"))
+    # A chunk has the counts of words that no other has; these need not come back.
+    sums = (
+        own.groupBy("word")
+        .agg(F.sum("n").alias("c"), F.min("to").alias("owner"), F.max("to").alias("last"))
+        .filter("c > 0 and owner < last")
+    )
     returned = own.drop("n").join(sums, "word").select(
         "to", "at", "c", (F.col("owner") == F.col("to")).alias("mine")
     )

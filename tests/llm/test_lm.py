@@ -190,3 +190,58 @@ def test_chunks_hold_all_words(spark, odd):
         cut = [w.decode() if isinstance(w, bytes) else w for w in words(r.text)]
         want[r.doc_id, tuple(i for w in cut for i in sub.model.encode(w) or [sub.blank])] += 1
     assert got == want
+
+
+def test_kept_ids_are_those_of_the_words():
+    """Words met before, of full slots and of many ids, and only new ones are cut."""
+    sub = lm.subwords(PATH)
+    asked = []
+
+    class Watched(lm.Subwords):
+        def of(self, data, starts, ends):
+            asked.append(len(starts))
+            return super().of(data, starts, ends)
+
+    kept = lm.KeptIds(Watched(PATH), 64)
+    parts = ["the", "river", "x" * 90, "\u200b", "é", "copies"] + [f"w{i}" for i in range(100)]
+    for rows in (parts[:60], parts[30:], parts, parts[:0], parts[::-1]):
+        data = [w.encode() for w in rows]
+        ends = np.cumsum([0, *map(len, data)])
+        hashes = np.array([lm.mix(np.array([parts.index(w) + 1], np.uint64))[0] for w in rows], np.uint64)
+        ids, each = kept.of(hashes, b"".join(data), ends[:-1], ends[1:])
+        want = [sub.model.encode(w) or [sub.blank] for w in rows]
+        assert ids.tolist() == [i for one in want for i in one]
+        assert each.tolist() == [len(one) for one in want]
+    assert asked[0] == 60 and asked[2] <= len(parts) - 32 and asked[3] == 0 and asked[4] == asked[2]
+
+
+def test_words_of_one_chunk_stay_in_it(spark, monkeypatch):
+    """Only words that several chunks have travel back; counts are those of all chunks."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(lm, "_SLICE", 1000)
+    monkeypatch.setattr(lm, "STEPS", 2)
+    texts = [f"the river of n{i} is as long as m{i} or n{i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    returned = []
+    score = lm._score
+
+    def watched(path, model, n_docs):
+        inner = score(path, model, n_docs)
+
+        def scored(chunks, words):
+            out = inner(chunks, words)
+            # More rows that come back than words that all chunks share would be one for each.
+            assert words.num_rows < len(chunks["n"][0]) / 2
+            return out
+
+        returned.append(True)
+        return scored
+
+    monkeypatch.setattr(lm, "_score", watched)
+    got = by_id(lm.score_texts(docs, PATH))
+    want = _base(list(enumerate(texts)))
+    assert returned
+    for i, rows in got.items():
+        r = rows[0]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == want[i][1:4]
+        assert r.base_score == pytest.approx(want[i][4], rel=1e-9)
