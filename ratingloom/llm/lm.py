@@ -756,6 +756,7 @@ def _score(path: str, model, n_docs: int):
         distinct = np.zeros(len(n_tokens), np.int64)
         distinct[0] = int(mine.sum())
         ids = chunks["doc_id"][0].values
+        shared.trim()
         return pa.table(
             [ids, chunk.held_out, n_tokens, n_known, base, total, distinct], schema=_SCORED
         )
@@ -791,6 +792,7 @@ def score_texts(
     """
     spark = docs.sparkSession
     shared.ship(spark)
+    shared.small_batches(spark)
     docs = docs.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

@@ -245,3 +245,11 @@ def test_words_of_one_chunk_stay_in_it(spark, monkeypatch):
         r = rows[0]
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[i][1:4]
         assert r.base_score == pytest.approx(want[i][4], rel=1e-9)
+
+
+def test_texts_come_in_small_batches(spark, odd, monkeypatch):
+    """An executor holds batches of some MB, not of 64, for each task on both sides."""
+    limit = lm.shared._BATCH_LIMIT
+    spark.conf.unset(limit)
+    lm.score_texts(odd, PATH)
+    assert int(spark.conf.get(limit)) <= 4 << 20
